@@ -65,8 +65,23 @@ def _matrix(table: pa.Table, column: str) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
-def _best_of_block(k: int, scorer: PairScorer):
-    """Keep, per user, the items of the block scoring at least the k-th best (ties included)."""
+def _best_places(scores: np.ndarray, k: int, exact: bool) -> np.ndarray:
+    """Mask of the scores at least as good as the k-th best of their row.
+
+    ``exact`` keeps k per row, the leftmost of the scores tied at the cut.
+    """
+    if k >= scores.shape[1]:
+        return np.ones(scores.shape, dtype=bool)
+    cut = np.partition(scores, -k, axis=1)[:, [-k]]
+    if not exact:
+        return scores >= cut
+    better, tied = scores > cut, scores == cut
+    room = k - better.sum(axis=1, keepdims=True)
+    return better | (tied & (np.cumsum(tied, axis=1) <= room))
+
+
+def _best_of_block(k: int, scorer: PairScorer, exact: bool):
+    """Task function: the rows of a user block that an item block may add to the best k."""
 
     def best(_, users: pa.Table, items: pa.Table) -> pa.Table:
         empty = pa.table(
@@ -79,6 +94,7 @@ def _best_of_block(k: int, scorer: PairScorer):
         )
         if users.num_rows == 0 or items.num_rows == 0:
             return empty
+        items = items.sort_by([("parent_asin", "ascending"), ("store_id", "ascending")])
         score = scorer(_matrix(items, "item_vector"))
         user_matrix = _matrix(users, "user_vector")
         user_ids = users.column("map_user_id").to_numpy()
@@ -87,11 +103,7 @@ def _best_of_block(k: int, scorer: PairScorer):
         parts = []
         for start in range(0, users.num_rows, step):
             scores = np.asarray(score(user_matrix[start : start + step]), dtype=np.float64)
-            if k < scores.shape[1]:
-                cut = np.partition(scores, -k, axis=1)[:, -k]
-                row, column = np.nonzero(scores >= cut[:, None])
-            else:
-                row, column = np.nonzero(np.ones_like(scores, dtype=bool))
+            row, column = np.nonzero(_best_places(scores, k, exact))
             parts.append(
                 pa.table(
                     {
@@ -107,8 +119,10 @@ def _best_of_block(k: int, scorer: PairScorer):
     return best
 
 
-def block_best(users: DataFrame, items: DataFrame, scorer: PairScorer, k: int) -> DataFrame:
-    """Candidates left after scoring all pairs: a superset of each user's rows of rank <= k.
+def block_best(
+    users: DataFrame, items: DataFrame, scorer: PairScorer, k: int, exact: bool = False
+) -> DataFrame:
+    """Candidates left after scoring all pairs: a superset of each user's best rows.
 
     ``users`` has (map_user_id, user_vector), ``items`` (parent_asin, store_id, item_vector);
     both without repeats, so blocks are even whatever the skew of the source tables.
@@ -137,7 +151,7 @@ def block_best(users: DataFrame, items: DataFrame, scorer: PairScorer, k: int) -
     return (
         user_side.groupBy(*pairs)
         .cogroup(item_side.groupBy(*pairs))
-        .applyInArrow(_best_of_block(k, scorer), SCORED)
+        .applyInArrow(_best_of_block(k, scorer, exact), SCORED)
     )
 
 
@@ -145,9 +159,10 @@ def score_topk(
     users: DataFrame, items: DataFrame, scorer: PairScorer, k: int = TOP_K, exact: bool = False
 ) -> DataFrame:
     """Rows of rank <= k per user over all items, ties kept; ``exact`` keeps exactly k rows."""
-    best = block_best(users, items, scorer, k)
+    best = block_best(users, items, scorer, k, exact)
     if exact:
-        return topk_exact(best, "map_user_id", "predicted_rating", "parent_asin", k)
+        ties = ["parent_asin", "store_id"]
+        return topk_exact(best, "map_user_id", "predicted_rating", ties, k)
     # One write: the ranks read the candidates twice and must not score the pairs again.
     return topk_with_ties(
         materialize(best, "block-best"), "map_user_id", "predicted_rating", k

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,13 +72,18 @@ def topk_with_ties(
 
 
 def topk_exact(
-    df: DataFrame, key: str, score: str, tie_break: str, k: int = TOP_K, rank: str = "rank"
+    df: DataFrame,
+    key: str,
+    score: str,
+    tie_break: Sequence[str],
+    k: int = TOP_K,
+    rank: str = "rank",
 ) -> DataFrame:
     """Exactly the best ``k`` rows per key, ties decided by ``tie_break``.
 
     Spark keeps k rows per key and task before the shuffle (window group limit).
     """
-    best = Window.partitionBy(key).orderBy(F.desc_nulls_last(score), F.asc(tie_break))
+    best = Window.partitionBy(key).orderBy(F.desc_nulls_last(score), *tie_break)
     return df.withColumn(rank, F.row_number().over(best)).filter(F.col(rank) <= k)
 
 

@@ -11,7 +11,7 @@ _VIEWS = {
         FROM lines""",
     "metadata": """
         SELECT 'P' || p_partkey AS parent_asin, nullif(p_brand, 'Brand#1') AS store
-        FROM part WHERE p_partkey % 10 <> 3""",
+        FROM part WHERE p_size > 5""",
     "actions": """
         SELECT CAST(floor(epoch(ts)) AS INTEGER) AS timestamp,
                CAST(CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 3
@@ -307,9 +307,8 @@ _ORACLE = {
             SELECT map_user_id, parent_asin, l_extendedprice AS predicted_rating, id, CAST(rank() OVER (
                    PARTITION BY map_user_id ORDER BY l_extendedprice DESC) AS INTEGER) AS rank
             FROM (SELECT *, row_number() OVER () AS id FROM predictions)
-                 JOIN (SELECT user_id, unnest(range(least(count(*), 3))) AS copy
-                       FROM events GROUP BY user_id) ON user_id = map_user_id)
-        WHERE rank <= 5 GROUP BY map_user_id, parent_asin, predicted_rating, rank, id""",
+                 JOIN events ON user_id = map_user_id)
+        WHERE rank <= 200 GROUP BY map_user_id, parent_asin, predicted_rating, rank, id""",
     "latest_model_version": "SELECT * FROM versions ORDER BY timestamp DESC, version DESC LIMIT 1",
     "last_registered_model": "SELECT * FROM versions ORDER BY version DESC LIMIT 1",
     "current_model_version": """

@@ -39,6 +39,23 @@ def table(columns, rows):
     return names, sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# SQL type names by Spark type name.
+_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE",
+}
+
+
+def compare_types(df, connection, sql: str) -> list[str]:
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    theirs = {row[0]: row[1] for row in described}
+    return [
+        f"{name}: {kind} != {theirs.get(name)}"
+        for name, kind in df.dtypes
+        if _TYPES.get(kind) != theirs.get(name)
+    ]
+
+
 def compare(df, connection, sql: str) -> list[str]:
     """Differences between the Spark result and the SQL result; empty if they agree."""
     spark_names, spark_rows = table(df.columns, [tuple(r) for r in df.collect()])
