@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.operators.ranking import topk_exact, topk_with_ties
+from pickwise.operators.ranking import topk_exact, topk_of_candidates
 from pickwise.schemas import TOP_K
 from pickwise.workspace import materialize
 
@@ -164,6 +164,6 @@ def score_topk(
         ties = ["parent_asin", "store_id"]
         return topk_exact(best, "map_user_id", "predicted_rating", ties, k)
     # One write: the ranks read the candidates twice and must not score the pairs again.
-    return topk_with_ties(
+    return topk_of_candidates(
         materialize(best, "block-best"), "map_user_id", "predicted_rating", k
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pickwise.operators.ordering import running_totals
 from pickwise.schemas import TOP_K
+from pickwise.workspace import materialize
 
 
 def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFrame:
@@ -67,7 +68,26 @@ def topk_with_ties(
     """Rows with rank at most ``k`` within their key; ties at the cut are all kept.
 
     ``copies`` names a column saying how many identical rows a row stands for.
+
+    First every task keeps its own rows of rank up to k per key (window group limit, before
+    the shuffle; the key is salted with the task, so a hot key stays spread). What is left is
+    a superset of the result that holds every better row, so the ranks taken from it are exact.
     """
+    salted = df.withColumn("__task", F.spark_partition_id())
+    local = Window.partitionBy(key, "__task").orderBy(F.desc_nulls_last(score))
+    candidates = (
+        salted.withColumn("__local", F.rank().over(local))
+        .filter(F.col("__local") <= k)
+        .drop("__task", "__local")
+    )
+    # Written once: they are read for the ranks and for the rows, and ``df`` may be costly.
+    return topk_of_candidates(materialize(candidates, "topk"), key, score, k, rank, copies)
+
+
+def topk_of_candidates(
+    df: DataFrame, key: str, score: str, k: int = TOP_K, rank: str = "rank", copies: str | None = None
+) -> DataFrame:
+    """The same for rows already cut down to a few per key and task."""
     return _attach(df, key, score, _best_scores(df, key, score, k, rank, copies), rank)
 
 
