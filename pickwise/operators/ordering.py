@@ -11,7 +11,7 @@ Two exact ways, by the order wanted:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,32 +64,47 @@ def number_copies(df: DataFrame, copy: str) -> DataFrame:
     return repeat_rows(counted, _COPIES, copy)
 
 
-def hash_positions(df: DataFrame, seed, name: str = "position", unique: bool = False) -> DataFrame:
+def hash_positions(
+    df: DataFrame, seed, name: str = "position", unique: bool = False, group: str | None = None
+) -> DataFrame:
     """Add the 0-based position of each row in seeded md5 order over all its columns.
 
     Identical rows get a copy number first, so they scatter like any other rows;
-    ``unique=True`` promises there are none and saves that shuffle.
+    ``unique=True`` promises there are none and saves that shuffle. With ``group`` (a column
+    with few values) positions start anew per group.
     """
     columns = df.columns
     numbered = df if unique else number_copies(df, _COPY)
     keyed = numbered.withColumn(
         _KEY, hash_key([F.col(c) for c in numbered.columns], seed)
     ).withColumn(_BUCKET, F.substring(_KEY, 1, _BUCKET_DIGITS))
-    # At most 16**4 rows, so one window task and a broadcast are within a fixed bound.
-    starts = _starts(keyed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__size")), _BUCKET, "__size")
-    in_bucket = Window.partitionBy(_BUCKET).orderBy(_KEY, *[F.asc_nulls_first(c) for c in columns])
+    bucket = [group, _BUCKET] if group else [_BUCKET]
+    # At most 16**4 rows per group, so one window task and a broadcast are within a fixed bound.
+    starts = _starts(
+        keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("__size")), bucket, "__size"
+    )
+    in_bucket = Window.partitionBy(*bucket).orderBy(
+        _KEY, *[F.asc_nulls_first(c) for c in columns]
+    )
     return (
         keyed.withColumn("__rank", F.row_number().over(in_bucket))
-        .join(F.broadcast(starts), _BUCKET)
+        .join(F.broadcast(starts), bucket)
         .select(*columns, (F.col(_START) + F.col("__rank") - 1).alias(name))
     )
 
 
-def _starts(sizes: DataFrame, group: str, size: str) -> DataFrame:
-    """Total size of all groups before each one; ``sizes`` has one row per bucket or range."""
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+def _starts(sizes: DataFrame, place: Sequence[str], size: str) -> DataFrame:
+    """Total size of all buckets or ranges before each one, per leading group column if any.
+
+    ``sizes`` has one row per bucket or range; the last column of ``place`` numbers them.
+    """
+    before = (
+        Window.partitionBy(*place[:-1])
+        .orderBy(place[-1])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     total = F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long")
-    return sizes.select(group, total.alias(_START))
+    return sizes.select(*place, total.alias(_START))
 
 
 def running_totals(
@@ -107,7 +122,9 @@ def running_totals(
         df.repartitionByRange(ranges, *order).withColumn(_RANGE, F.spark_partition_id()),
         "ranges",
     )
-    starts = _starts(ranged.groupBy(_RANGE).agg(F.sum(weight).alias("__size")), _RANGE, "__size")
+    starts = _starts(
+        ranged.groupBy(_RANGE).agg(F.sum(weight).alias("__size")), [_RANGE], "__size"
+    )
     earlier = (
         Window.partitionBy(_RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -135,15 +152,18 @@ def sorted_positions(df: DataFrame, order: Sequence[str], name: str = "position"
     )
 
 
-def row_at(df: DataFrame, order: Sequence[str], position: int):
-    """The row at ``position`` (0-based) in ascending order, and how many of its copies precede it.
+def row_at(df: DataFrame, order: Sequence[str], position: Callable[[int], int]):
+    """The row at ``position(number of rows)`` (0-based) in ascending order, NULL first.
 
     Selects column by column: value counts of the first column find the value at the position,
     the search goes on among the rows with that value, and once few rows share it, over all
     other columns at once. Only counts are shuffled, never rows.
-    Returns ``(values, copies_before, copies)`` or ``None`` beyond the last row.
+
+    Returns ``(values, copies_before, copies)``: the row, how many of its copies come before
+    the position and how many there are; ``values`` is None at or beyond the end, and
+    ``copies_before`` then the position itself.
     """
-    remaining, values, copies = position, [], None
+    values, remaining, copies = [], None, None
     rows = df.select(*order)
     while len(values) < len(order):
         left = list(order[len(values):])
@@ -158,11 +178,14 @@ def row_at(df: DataFrame, order: Sequence[str], position: int):
             )
         else:
             placed = running_totals(counts, sort, _COPIES, "__before")
+        if remaining is None:
+            total = placed.agg(F.sum(_COPIES).alias("n")).head()["n"] or 0
+            remaining = position(total)
+            if not 0 <= remaining < total:
+                return None, remaining, 0
         hit = placed.filter(
             (F.col("__before") <= remaining) & (F.col("__before") + F.col(_COPIES) > remaining)
         ).head()
-        if hit is None:
-            return None
         values += [hit[c] for c in keys]
         remaining -= hit["__before"]
         copies = hit[_COPIES]
@@ -195,37 +218,40 @@ def equals_row(order: Sequence[str], values: Sequence, types: Sequence) -> Colum
 
 
 def split_at(
-    df: DataFrame, order: Sequence[str], position: int, name: str = "in_head"
+    df: DataFrame, order: Sequence[str], position: Callable[[int], int], name: str = "in_head"
 ) -> DataFrame:
-    """Add whether a row is among the first ``position`` rows in ascending order.
+    """Add whether a row is among the first ``position(number of rows)`` in ascending order.
 
     ``order`` must list every column, so rows equal in it are identical. The rows are only
     filtered; copies of the row at the cut are shared out by count.
     """
     if set(order) != set(df.columns):
         raise ValueError("order must cover every column")
-    found = row_at(df, order, position) if position > 0 else None
-    if found is None:
-        return df.withColumn(name, F.lit(position > 0))
-    values, head_copies, copies = found
+    values, head_copies, copies = row_at(df, order, position)
+    if values is None:
+        return df.withColumn(name, F.lit(head_copies > 0))
     types = [df.schema[c].dataType for c in order]
-    at_cut = equals_row(order, values, types)
-    others = df.filter(~at_cut).withColumn(name, rows_before(order, values, types))
-    cut = df.sparkSession.range(copies).select(
-        *[
-            F.lit(values[list(order).index(c)]).cast(df.schema[c].dataType).alias(c)
-            for c in df.columns
-        ],
-        (F.col("id") < head_copies).alias(name),
+    others = df.filter(~equals_row(order, values, types)).withColumn(
+        name, rows_before(order, values, types)
+    )
+    row = dict(zip(order, values))
+    return others.unionByName(
+        copies_of(df, row, copies).select(*df.columns, (F.col("__copy") < head_copies).alias(name))
+    )
+
+
+def copies_of(df: DataFrame, row: dict, copies: int) -> DataFrame:
+    """``copies`` rows equal to ``row`` in the layout of ``df``, numbered in ``__copy``."""
+    return df.sparkSession.range(copies).select(
+        *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields],
+        F.col("id").alias(_COPY),
     )
-    return others.unionByName(cut)
 
 
 def temporal_split(df: DataFrame, time: str, head_fraction: float, name: str = "split") -> DataFrame:
     """Mark the first ``floor(head_fraction * n)`` rows by time as train, the others as validation."""
     order = [time] + [c for c in df.columns if c != time]
-    cut = int(head_fraction * df.count())
-    flagged = split_at(df, order, cut, "__head")
+    flagged = split_at(df, order, lambda n: int(head_fraction * n), "__head")
     return flagged.withColumn(
         name, F.when(F.col("__head"), "train").otherwise("validation")
     ).drop("__head")
@@ -234,8 +260,8 @@ def temporal_split(df: DataFrame, time: str, head_fraction: float, name: str = "
 def tail_fraction(df: DataFrame, time: str, start_fraction: float) -> DataFrame:
     """Rows from position ``floor(start_fraction * n)`` on in time order."""
     order = [time] + [c for c in df.columns if c != time]
-    cut = int(start_fraction * df.count())
-    return split_at(df, order, cut, "__head").filter(~F.col("__head")).drop("__head")
+    flagged = split_at(df, order, lambda n: int(start_fraction * n), "__head")
+    return flagged.filter(~F.col("__head")).drop("__head")
 
 
 def sort_by(df: DataFrame, *columns: str) -> DataFrame:

@@ -8,18 +8,29 @@ from pyspark.sql import functions as F
 from pickwise.operators.ordering import hash_positions
 
 
-def build_vocabulary(df: DataFrame, column: str, feature: str) -> DataFrame:
-    """Distinct values of ``column`` with ids 0..n-1, a table (feature, value, idx).
+def build_vocabularies(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Distinct values per feature with ids 0..n-1, a table (feature, value, idx).
 
-    Ids follow the md5 order of the values, which is the same for every run and partitioning
-    and needs no global sort. NULL, if present, is a value with an id of its own.
+    ``columns`` names the column of each feature; all are built in one pass. Ids follow the md5
+    order of the values, which is the same for every run and partitioning and needs no global
+    sort. NULL, if present, is a value with an id of its own.
     """
-    values = df.select(F.col(column).alias("value")).distinct()
-    return hash_positions(values, feature, "idx", unique=True).select(
-        F.lit(feature).alias("feature"), "value", F.col("idx").cast("int").alias("idx")
+    entries = F.array(
+        *[
+            F.struct(F.lit(feature).alias("feature"), F.col(column).cast("string").alias("value"))
+            for feature, column in columns.items()
+        ]
+    )
+    values = df.select(F.inline(entries)).distinct()
+    return hash_positions(values, "ids", "idx", unique=True, group="feature").select(
+        "feature", "value", F.col("idx").cast("int").alias("idx")
     )
 
 
+def build_vocabulary(df: DataFrame, column: str, feature: str) -> DataFrame:
+    return build_vocabularies(df, {feature: column})
+
+
 def one_feature(feature_maps: DataFrame, feature: str) -> DataFrame:
     return feature_maps.filter(F.col("feature") == feature).select("value", "idx")
 

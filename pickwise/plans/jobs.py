@@ -16,6 +16,7 @@ from pickwise.operators.candidates import PairScorer, score_topk
 from pickwise.operators.ranking import recommendation_lists
 from pickwise.operators.relational import drop_nulls, project, union_all
 from pickwise.operators.vocabulary import (
+    build_vocabularies,
     build_vocabulary,
     decode,
     encode,
@@ -64,11 +65,12 @@ def prepare(ratings: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFra
         drop_nulls(metadata, ["store"]).select(*METADATA_COLUMNS).join(rated, "parent_asin", "left_semi"),
         "catalogue",
     )
-    item_map = materialize(build_vocabulary(catalogue, "parent_asin", ITEM_MAP), "item-map")
-    store_map = materialize(build_vocabulary(catalogue, "store", STORE_MAP), "store-map")
+    catalogue_maps = materialize(
+        build_vocabularies(catalogue, {ITEM_MAP: "parent_asin", STORE_MAP: "store"}), "maps"
+    )
     encoded_catalogue = encode(
-        encode(catalogue, "store", store_map, "minus_one"),
-        "parent_asin", item_map, "minus_one", output="__item",
+        encode(catalogue, "store", one_feature(catalogue_maps, STORE_MAP), "minus_one"),
+        "parent_asin", one_feature(catalogue_maps, ITEM_MAP), "minus_one", output="__item",
     )
     joined = materialize(
         ratings.join(encoded_catalogue, "parent_asin").select(
@@ -80,7 +82,7 @@ def prepare(ratings: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFra
     dataset = encode(joined, "user_id", user_map, "minus_one").select(
         "parent_asin", "timestamp", "rating", "user_id", "store"
     )
-    return dataset, union_all(user_map, item_map, store_map)
+    return dataset, union_all(user_map, catalogue_maps)
 
 
 @dataclass

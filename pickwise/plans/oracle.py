@@ -26,15 +26,15 @@ _VIEWS = {
         FROM joined""",
     "user_map": """
         SELECT 'user_id_map' AS feature, value, CAST(row_number() OVER (
-                   ORDER BY md5(concat_ws('|', 'user_id_map', value)), value) - 1 AS INTEGER) AS idx
+                   ORDER BY md5(concat_ws('|', 'ids', 'user_id_map', value)), value) - 1 AS INTEGER) AS idx
         FROM (SELECT DISTINCT user_id AS value FROM joined)""",
     "item_map": """
         SELECT 'parent_id_map' AS feature, value, CAST(row_number() OVER (
-                   ORDER BY md5(concat_ws('|', 'parent_id_map', value)), value) - 1 AS INTEGER) AS idx
+                   ORDER BY md5(concat_ws('|', 'ids', 'parent_id_map', value)), value) - 1 AS INTEGER) AS idx
         FROM (SELECT DISTINCT parent_asin AS value FROM joined)""",
     "store_map": """
         SELECT 'store_id_map' AS feature, value, CAST(row_number() OVER (
-                   ORDER BY md5(concat_ws('|', 'store_id_map', value)), value) - 1 AS INTEGER) AS idx
+                   ORDER BY md5(concat_ws('|', 'ids', 'store_id_map', value)), value) - 1 AS INTEGER) AS idx
         FROM (SELECT DISTINCT store AS value FROM joined)""",
     "maps": "SELECT * FROM user_map UNION ALL SELECT * FROM item_map UNION ALL SELECT * FROM store_map",
     "encoded": """

@@ -89,9 +89,7 @@ def inline_relation(spark, sf_dir):
 @query
 def scan_feature_maps(spark, sf_dir):
     path = scratch_path(spark, "maps")
-    maps = relational.union_all(
-        testdata.vocabulary(spark, sf_dir, ITEM_MAP), testdata.vocabulary(spark, sf_dir, STORE_MAP)
-    )
+    maps = testdata.vocabularies(spark, sf_dir, ITEM_MAP, STORE_MAP)
     tables.write_feature_maps(maps, path, "v1")
     stored = tables.read_feature_maps(spark, path, "v1")
     return vocabulary.one_feature(stored, STORE_MAP)
@@ -100,10 +98,7 @@ def scan_feature_maps(spark, sf_dir):
 @query
 def sink_feature_maps(spark, sf_dir):
     path = scratch_path(spark, "maps")
-    maps = relational.union_all(
-        *[testdata.vocabulary(spark, sf_dir, f) for f in (USER_MAP, ITEM_MAP, STORE_MAP)]
-    )
-    tables.write_feature_maps(maps, path, "v1")
+    tables.write_feature_maps(testdata.vocabularies(spark, sf_dir), path, "v1")
     return tables.read_feature_maps(spark, path, "v1")
 
 
@@ -301,7 +296,7 @@ def map_lookup(spark, sf_dir):
 
 @query
 def invert_map(spark, sf_dir):
-    return vocabulary.invert_map(testdata.vocabulary(spark, sf_dir, STORE_MAP))
+    return vocabulary.invert_map(testdata.vocabularies(spark, sf_dir, STORE_MAP))
 
 
 @query
@@ -372,7 +367,7 @@ def _all_items(spark, sf_dir):
 def encode_minus_one(spark, sf_dir):
     return vocabulary.encode(
         _all_items(spark, sf_dir), "parent_asin",
-        testdata.vocabulary(spark, sf_dir, ITEM_MAP), "minus_one",
+        testdata.vocabularies(spark, sf_dir, ITEM_MAP), "minus_one",
     )
 
 
@@ -380,24 +375,25 @@ def encode_minus_one(spark, sf_dir):
 def encode_null(spark, sf_dir):
     return vocabulary.encode(
         _all_items(spark, sf_dir), "parent_asin",
-        testdata.vocabulary(spark, sf_dir, ITEM_MAP), "null", output="map_item_id",
+        testdata.vocabularies(spark, sf_dir, ITEM_MAP), "null", output="map_item_id",
     )
 
 
 @query
 def item_feature_store(spark, sf_dir):
+    maps = materialize(testdata.vocabularies(spark, sf_dir, ITEM_MAP, STORE_MAP), "maps")
     return vocabulary.item_feature_store(
         testdata.metadata(spark, sf_dir),
-        testdata.vocabulary(spark, sf_dir, ITEM_MAP),
-        testdata.vocabulary(spark, sf_dir, STORE_MAP),
+        vocabulary.one_feature(maps, ITEM_MAP),
+        vocabulary.one_feature(maps, STORE_MAP),
     )
 
 
 @query
 def decode_entities(spark, sf_dir):
     """Top scored rows by id, mapped back to the original users and items."""
-    users = testdata.vocabulary(spark, sf_dir, USER_MAP)
-    items = testdata.vocabulary(spark, sf_dir, ITEM_MAP)
+    maps = materialize(testdata.vocabularies(spark, sf_dir, USER_MAP, ITEM_MAP), "maps")
+    users, items = vocabulary.one_feature(maps, USER_MAP), vocabulary.one_feature(maps, ITEM_MAP)
     best = ranking.topk_with_ties(
         testdata.predictions(spark, sf_dir, "l_extendedprice"), "map_user_id", "predicted_rating"
     )
@@ -415,23 +411,22 @@ def distinct_values(spark, sf_dir):
 
 @query
 def feature_map_user(spark, sf_dir):
-    return testdata.vocabulary(spark, sf_dir, USER_MAP)
+    return testdata.vocabularies(spark, sf_dir, USER_MAP)
 
 
 @query
 def feature_map_item(spark, sf_dir):
-    return testdata.vocabulary(spark, sf_dir, ITEM_MAP)
+    return testdata.vocabularies(spark, sf_dir, ITEM_MAP)
 
 
 @query
 def feature_map_store(spark, sf_dir):
-    return testdata.vocabulary(spark, sf_dir, STORE_MAP)
+    return testdata.vocabularies(spark, sf_dir, STORE_MAP)
 
 
 @query
 def feature_sizes(spark, sf_dir):
-    maps = [testdata.vocabulary(spark, sf_dir, f) for f in (USER_MAP, ITEM_MAP, STORE_MAP)]
-    return vocabulary.feature_sizes(relational.union_all(*maps))
+    return vocabulary.feature_sizes(testdata.vocabularies(spark, sf_dir))
 
 
 @query
@@ -461,7 +456,7 @@ def recommendation_lists(spark, sf_dir):
 
 @query
 def split_counts(spark, sf_dir):
-    split = sampling.train_test_split(testdata.labelled(spark, sf_dir))
+    split = sampling.train_test_split(materialize(testdata.labelled(spark, sf_dir), "labelled"))
     return split.groupBy("split").agg(F.count("*").alias("n"))
 
 
@@ -576,7 +571,7 @@ def union_missing_columns(spark, sf_dir):
 
 @query
 def train_test_split(spark, sf_dir):
-    return sampling.train_test_split(testdata.labelled(spark, sf_dir))
+    return sampling.train_test_split(materialize(testdata.labelled(spark, sf_dir), "labelled"))
 
 
 @query
@@ -597,7 +592,7 @@ def negative_sampling_strict(spark, sf_dir):
 
 @query
 def sample_with_replacement(spark, sf_dir):
-    users = vocabulary.one_feature(testdata.vocabulary(spark, sf_dir, USER_MAP), USER_MAP)
+    users = vocabulary.one_feature(testdata.vocabularies(spark, sf_dir, USER_MAP), USER_MAP)
     return sampling.sample_with_replacement(materialize(users, "users"), 50)
 
 
@@ -615,13 +610,12 @@ def minibatch_assignment(spark, sf_dir):
 
 
 def _feature_maps(spark, sf_dir) -> DataFrame:
-    maps = [testdata.vocabulary(spark, sf_dir, f) for f in (USER_MAP, ITEM_MAP, STORE_MAP)]
-    return materialize(relational.union_all(*maps), "maps")
+    return materialize(testdata.vocabularies(spark, sf_dir), "maps")
 
 
 def _prepared(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     dataset, maps = jobs.prepare(testdata.ratings(spark, sf_dir), testdata.metadata(spark, sf_dir))
-    return materialize(dataset, "dataset"), materialize(maps, "maps")
+    return materialize(dataset, "dataset"), maps
 
 
 @query
@@ -759,7 +753,7 @@ def unknown_requests(spark, sf_dir):
     requests = testdata.table(spark, sf_dir, "customer").select(
         scalars.format_id(F.col("c_custkey") * 2, "U").alias("user_id")
     )
-    users = vocabulary.one_feature(testdata.vocabulary(spark, sf_dir, USER_MAP), USER_MAP)
+    users = vocabulary.one_feature(testdata.vocabularies(spark, sf_dir, USER_MAP), USER_MAP)
     return requests.join(users, F.col("user_id") == F.col("value"), "left_anti")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pickwise.functions.scalars import binarize, epoch_seconds
 from pickwise.operators.relational import drop_nulls, join_ratings_metadata
-from pickwise.operators.vocabulary import build_vocabulary
+from pickwise.operators.vocabulary import build_vocabularies
 from pickwise.schemas import EMBEDDING_SIZE, ITEM_MAP, STORE_MAP, USER_MAP
 
 
@@ -75,9 +75,13 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, feature: str) -> DataFrame:
-    column = {USER_MAP: "user_id", ITEM_MAP: "parent_asin", STORE_MAP: "store"}[feature]
-    return build_vocabulary(joined(spark, sf_dir), column, feature)
+_FEATURE_COLUMNS = {USER_MAP: "user_id", ITEM_MAP: "parent_asin", STORE_MAP: "store"}
+
+
+def vocabularies(spark: SparkSession, sf_dir: str, *features: str) -> DataFrame:
+    """The vocabularies of the joined ratings, all three unless some are named."""
+    names = features or tuple(_FEATURE_COLUMNS)
+    return build_vocabularies(joined(spark, sf_dir), {f: _FEATURE_COLUMNS[f] for f in names})
 
 
 def predictions(spark: SparkSession, sf_dir: str, score: str) -> DataFrame:

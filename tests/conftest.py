@@ -20,6 +20,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # No query and no job behind one may pair rows without a join key.
+        .config("spark.sql.crossJoin.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

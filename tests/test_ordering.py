@@ -70,7 +70,7 @@ def test_split_with_nulls(spark):
     df = spark.createDataFrame(data, "day int, user string")
     for cut in range(len(data) + 1):
         ordered = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-        got = ordering.split_at(df, ["day", "user"], cut, "head")
+        got = ordering.split_at(df, ["day", "user"], lambda n: cut, "head")
         expected = [(*r, i < cut) for i, r in enumerate(ordered)]
         assert rows(got) == sorted(expected, key=repr)
 
