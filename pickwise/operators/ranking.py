@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.operators.ordering import running_totals
+from pickwise.operators.skew import hot_keys, split_join
 from pickwise.schemas import TOP_K
 from pickwise.workspace import materialize
 
@@ -18,7 +19,9 @@ def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFr
     A rank is one plus the number of better rows of the key, so it follows from counts per
     (key, score): a key with a third of all rows is spread over many ranges, not one window.
     """
-    counts = df.groupBy(key, score).agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialize(
+        df.groupBy(key, score).agg(F.count(F.lit(1)).alias("__n")), "score-counts"
+    )
     placed = running_totals(
         counts, [F.asc_nulls_first(key), F.desc_nulls_last(score)], "__n", "__before"
     )
@@ -32,12 +35,14 @@ def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFr
             (F.col("__before") - F.col("__first") + 1).cast("int").alias(rank),
         )
     )
-    return _attach(df, key, score, ranks, rank)
+    return _attach(df, key, score, ranks, rank, hot_keys(counts, [key, score], "__n"))
 
 
-def _attach(df: DataFrame, key: str, score: str, ranks: DataFrame, rank: str) -> DataFrame:
-    matches = F.col(key).eqNullSafe(F.col("__key")) & F.col(score).eqNullSafe(F.col("__score"))
-    return df.join(ranks, matches).select(*df.columns, rank)
+def _attach(
+    df: DataFrame, key: str, score: str, ranks: DataFrame, rank: str, hot: DataFrame | None
+) -> DataFrame:
+    ranked = split_join(df, ranks, [key, score], ["__key", "__score"], hot=hot, null_safe=True)
+    return ranked.select(*df.columns, rank)
 
 
 def _best_scores(df: DataFrame, key: str, score: str, k: int, rank: str, copies=None) -> DataFrame:
@@ -58,7 +63,7 @@ def _best_scores(df: DataFrame, key: str, score: str, k: int, rank: str, copies=
             rank, (F.coalesce(F.sum("__n").over(better), F.lit(0)) + 1).cast("int")
         )
         .filter(F.col(rank) <= k)
-        .select(F.col(key).alias("__key"), F.col(score).alias("__score"), rank)
+        .select(F.col(key).alias("__key"), F.col(score).alias("__score"), rank, "__n")
     )
 
 
@@ -88,7 +93,9 @@ def topk_of_candidates(
     df: DataFrame, key: str, score: str, k: int = TOP_K, rank: str = "rank", copies: str | None = None
 ) -> DataFrame:
     """The same for rows already cut down to a few per key and task."""
-    return _attach(df, key, score, _best_scores(df, key, score, k, rank, copies), rank)
+    best = materialize(_best_scores(df, key, score, k, rank, copies), "best-scores")
+    hot = hot_keys(best, ["__key", "__score"], "__n")
+    return _attach(df, key, score, best.drop("__n"), rank, hot)
 
 
 def topk_exact(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.operators.ordering import hash_positions
+from pickwise.operators.skew import split_join
 
 
 def build_vocabularies(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -45,30 +46,34 @@ def feature_sizes(feature_maps: DataFrame) -> DataFrame:
 
 
 def encode(
-    df: DataFrame, column: str, feature_map: DataFrame, missing: str, output: str | None = None
+    df: DataFrame,
+    column: str,
+    feature_map: DataFrame,
+    missing: str,
+    output: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Replace ``column`` by its id (or add ``output``).
 
     ``missing`` says what an unknown value gives: ``minus_one`` (NULL is looked up like any
     value), ``null`` or ``drop``. The join carries no hint: Spark broadcasts a vocabulary only
-    if its measured size allows, and otherwise splits skewed keys at run time.
+    if its measured size allows. ``hot`` names values that are joined without a shuffle.
     """
-    output = output or column
+    if missing not in ("minus_one", "null", "drop"):
+        raise ValueError(f"missing must be minus_one, null or drop, not {missing!r}")
     lookup = feature_map.select(
         F.col("value").alias("__value"), F.col("idx").cast("int").alias("__idx")
     )
+    joined = split_join(
+        df, lookup, [column], ["__value"],
+        how="inner" if missing == "drop" else "left",
+        hot=hot,
+        null_safe=missing == "minus_one",
+    )
+    found = F.col("__idx")
     if missing == "minus_one":
-        joined = df.join(lookup, F.col(column).eqNullSafe(F.col("__value")), "left")
-        found = F.coalesce(F.col("__idx"), F.lit(-1))
-    elif missing == "null":
-        joined = df.join(lookup, F.col(column) == F.col("__value"), "left")
-        found = F.col("__idx")
-    elif missing == "drop":
-        joined = df.join(lookup, F.col(column) == F.col("__value"))
-        found = F.col("__idx")
-    else:
-        raise ValueError(f"missing must be minus_one, null or drop, not {missing!r}")
-    return joined.withColumn(output, found).drop("__value", "__idx")
+        found = F.coalesce(found, F.lit(-1))
+    return joined.withColumn(output or column, found).drop("__value", "__idx")
 
 
 def decode(df: DataFrame, column: str, feature_map: DataFrame, output: str) -> DataFrame:

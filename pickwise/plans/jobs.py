@@ -15,6 +15,7 @@ from pickwise.models.training import train_model
 from pickwise.operators.candidates import PairScorer, score_topk
 from pickwise.operators.ranking import recommendation_lists
 from pickwise.operators.relational import drop_nulls, project, union_all
+from pickwise.operators.skew import hot_keys, split_join
 from pickwise.operators.vocabulary import (
     build_vocabularies,
     build_vocabulary,
@@ -58,11 +59,14 @@ def prepare(ratings: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFra
 
     The catalogue is encoded before it meets the ratings: item and store ids come from the
     rated items alone, so the large table is shuffled for the catalogue join and the user
-    lookup only. The joined rows are written once; they feed the user vocabulary and the result.
+    lookup only. Rows per item and per user are counted on the way and name the hot keys of
+    both joins. The joined rows are written once; they feed the user vocabulary and the result.
     """
-    rated = ratings.select("parent_asin").distinct()
+    item_rows = _rows_per(ratings, "parent_asin")
     catalogue = materialize(
-        drop_nulls(metadata, ["store"]).select(*METADATA_COLUMNS).join(rated, "parent_asin", "left_semi"),
+        drop_nulls(metadata, ["store"])
+        .select(*METADATA_COLUMNS)
+        .join(item_rows, "parent_asin", "left_semi"),
         "catalogue",
     )
     catalogue_maps = materialize(
@@ -71,20 +75,26 @@ def prepare(ratings: DataFrame, metadata: DataFrame) -> tuple[DataFrame, DataFra
     encoded_catalogue = encode(
         encode(catalogue, "store", one_feature(catalogue_maps, STORE_MAP), "minus_one"),
         "parent_asin", one_feature(catalogue_maps, ITEM_MAP), "minus_one", output="__item",
-    )
+    ).withColumnRenamed("parent_asin", "__asin")
     joined = materialize(
-        ratings.join(encoded_catalogue, "parent_asin").select(
-            F.col("__item").alias("parent_asin"), "timestamp", "rating", "user_id", "store"
-        ),
+        split_join(
+            ratings, encoded_catalogue, ["parent_asin"], ["__asin"],
+            hot=hot_keys(item_rows, ["parent_asin"], "rows"),
+        ).select(F.col("__item").alias("parent_asin"), "timestamp", "rating", "user_id", "store"),
         "joined",
     )
-    user_map = materialize(build_vocabulary(joined, "user_id", USER_MAP), "user-map")
-    dataset = encode(joined, "user_id", user_map, "minus_one").select(
-        "parent_asin", "timestamp", "rating", "user_id", "store"
-    )
+    user_rows = _rows_per(joined, "user_id")
+    user_map = materialize(build_vocabulary(user_rows, "user_id", USER_MAP), "user-map")
+    dataset = encode(
+        joined, "user_id", user_map, "minus_one", hot=hot_keys(user_rows, ["user_id"], "rows")
+    ).select("parent_asin", "timestamp", "rating", "user_id", "store")
     return dataset, union_all(user_map, catalogue_maps)
 
 
+def _rows_per(df: DataFrame, column: str) -> DataFrame:
+    return materialize(df.groupBy(column).agg(F.count(F.lit(1)).alias("rows")), "rows-per-key")
+
+
 @dataclass
 class Recommendations:
     ranked: DataFrame  # user_id, asin, rank
