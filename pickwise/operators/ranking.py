@@ -25,15 +25,17 @@ def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFr
     placed = running_totals(
         counts, [F.asc_nulls_first(key), F.desc_nulls_last(score)], "__n", "__before"
     )
-    first = placed.groupBy(key).agg(F.min("__before").alias("__first"))
-    ranks = (
-        placed.alias("p")
-        .join(first.alias("f"), F.col(f"p.{key}").eqNullSafe(F.col(f"f.{key}")))
-        .select(
-            F.col(f"p.{key}").alias("__key"),
-            F.col(f"p.{score}").alias("__score"),
-            (F.col("__before") - F.col("__first") + 1).cast("int").alias(rank),
-        )
+    first = materialize(
+        placed.groupBy(F.col(key).alias("__key")).agg(
+            F.min("__before").alias("__first"), F.count(F.lit(1)).alias("__scores")
+        ),
+        "first-rows",
+    )
+    hot = hot_keys(first, ["__key"], "__scores")
+    ranks = split_join(placed, first, [key], ["__key"], hot=hot, null_safe=True).select(
+        "__key",
+        F.col(score).alias("__score"),
+        (F.col("__before") - F.col("__first") + 1).cast("int").alias(rank),
     )
     return _attach(df, key, score, ranks, rank, hot_keys(counts, [key, score], "__n"))
 

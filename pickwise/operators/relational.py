@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.operators.skew import hot_keys, split_join
+from pickwise.workspace import materialize
+
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
@@ -46,8 +49,25 @@ def frequent_values(df: DataFrame, column: str, threshold: int) -> DataFrame:
 
 
 def filter_low_occurrence(df: DataFrame, column: str, threshold: int = 5) -> DataFrame:
-    """Rows whose ``column`` value occurs at least ``threshold`` times."""
-    return df.join(frequent_values(df, column, threshold).select(column), column, "left_semi")
+    """Rows whose ``column`` value occurs at least ``threshold`` times.
+
+    The counts are written once: they also name the values too frequent for one task.
+    """
+    frequent = materialize(
+        frequent_values(df, column, threshold).withColumnRenamed(column, "__value"), "frequent"
+    )
+    hot = hot_keys(frequent, ["__value"], "occurrences")
+    return split_join(df, frequent, [column], ["__value"], "left_semi", hot)
+
+
+def semi_join(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose ``column`` is among ``keys``.
+
+    The distinct keys are written first: joined with a table instead of an aggregate, a
+    frequent value can be split over tasks at run time.
+    """
+    known = materialize(keys.select(column).distinct(), "keys")
+    return df.join(known, column, "left_semi")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

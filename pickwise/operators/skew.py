@@ -1,9 +1,10 @@
 """Joins whose left side may hold a large share of its rows under a few keys.
 
 Adaptive execution splits skewed partitions by their compressed bytes, which misses a hot key
-whose rows are alike and compress well. Where the rows per key are counted anyway, the few hot
-keys are known and their rows are joined in place against a broadcast of just those keys; all
-other rows take the normal shuffled join.
+whose rows are alike and compress well, and it splits none if the other side is an aggregate on
+the join key. Where the rows per key are counted anyway, the few hot keys are known and their
+rows are joined in place against a broadcast of just those keys; all other rows take the normal
+shuffled join.
 """
 
 from __future__ import annotations

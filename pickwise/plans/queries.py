@@ -355,8 +355,8 @@ def join_ratings_metadata(spark, sf_dir):
 @query
 def semi_join_users(spark, sf_dir):
     """Ratings of users who also sent actions."""
-    users = testdata.actions(spark, sf_dir).select("user_id").distinct()
-    return testdata.ratings(spark, sf_dir).join(users, "user_id", "left_semi")
+    users = testdata.actions(spark, sf_dir)
+    return relational.semi_join(testdata.ratings(spark, sf_dir), users, "user_id")
 
 
 def _all_items(spark, sf_dir):

@@ -173,6 +173,30 @@ def test_console_sink_and_processing_time(spark):
     assert sum(seen) == 1
 
 
+def test_small_catalogue_from_request_to_list(spark):
+    """Four users, a hundred items (i, i) named ID_i, a score that prefers items near 10 * user."""
+    users = {"A1": 2, "B2": 3, "C3": 1, "D4": 0}
+    maps = spark.createDataFrame(
+        [(USER_MAP, name, idx) for name, idx in users.items()]
+        + [(ITEM_MAP, f"ID_{i}", i) for i in range(100)]
+        + [(STORE_MAP, f"S{i}", i) for i in range(100)],
+        "feature string, value string, idx int",
+    )
+    catalogue = spark.createDataFrame([(f"ID_{i}", f"S{i}") for i in range(100)], METADATA)
+    vectors = maps.select("feature", "idx", F.array(F.col("idx").cast("float")).alias("vector"))
+
+    def nearest(items):
+        return lambda asked: -abs(items[None, :, 0] - 10.0 * asked[:, [0]] + 0.25)
+
+    requests = spark.createDataFrame([(u,) for u in users], "user_id string")
+    lists = jobs.recommend(requests, catalogue, maps, vectors, nearest).lists
+    got = {r.user_id: r.top_k_asins for r in lists.collect()}
+    assert got["A1"] == ["ID_20", "ID_19", "ID_21", "ID_18", "ID_22"]
+    assert got["B2"] == ["ID_30", "ID_29", "ID_31", "ID_28", "ID_32"]
+    assert got["C3"] == ["ID_10", "ID_9", "ID_11", "ID_8", "ID_12"]
+    assert got["D4"] == ["ID_0", "ID_1", "ID_2", "ID_3", "ID_4"]
+
+
 def test_files(spark, ratings, metadata):
     folder = scratch_path(spark, "files")
     files.write_jsonl(ratings, f"{folder}/r", compression="gzip")

@@ -5,9 +5,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from pickwise.models.embeddings import HotRows, embedding_lookup, normal_embeddings
-from pickwise.operators import ranking, skew, vocabulary
+from pickwise.operators import ranking, relational, skew, vocabulary
 from pickwise.plans import jobs
 from pickwise.schemas import ITEM_MAP, METADATA, RATINGS, STORE_MAP, USER_MAP
+from pickwise.workspace import materialize
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +59,8 @@ def test_jobs_give_the_same_with_hot_keys(spark, ratings, metadata, low_limit, p
         dataset, maps = jobs.prepare(ratings, metadata)
         ranked = ranking.rank_rows(ratings, "user_id", "rating")
         best = ranking.topk_with_ties(ratings, "user_id", "rating", 3)
-        found.append([rows(dataset), rows(maps), rows(ranked), rows(best)])
+        often = relational.filter_low_occurrence(ratings, "user_id", 8)
+        found.append([rows(df) for df in (dataset, maps, ranked, best, often)])
         plan = dataset._jdf.queryExecution().optimizedPlan().toString()
         assert ("LeftSemi" in plan) == on
     assert found[0] == found[1]
@@ -99,9 +101,8 @@ def test_adaptive_execution_splits_large_partitions(spark, partitions):
             F.when(F.col("id") % 3 == 0, "hot").otherwise(F.md5(F.col("id").cast("string"))).alias("k"),
             F.md5(F.concat(F.lit("x"), F.col("id"))).alias("payload"),
         )
-        lookup = left.select(F.col("k").alias("value")).distinct().select(
-            "value", F.abs(F.hash("value")).alias("idx")
-        )
+        values = left.select(F.col("k").alias("value")).distinct()
+        lookup = materialize(values.select("value", F.abs(F.hash("value")).alias("idx")), "lookup")
         joined = vocabulary.encode(left, "k", lookup, "null", output="id")
         counted = joined.agg(F.count("*"), F.sum("id"), F.max("payload"))
         assert counted.collect()[0][0] == 60_000
