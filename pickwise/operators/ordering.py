@@ -114,13 +114,11 @@ def running_totals(
 
     ``order`` must be a total order (no two rows equal in it); group equal rows first.
     The ranges are written once because range bounds come from a sample and could differ
-    between two evaluations.
+    between two evaluations. There are at most as many as shuffle partitions; adaptive
+    execution merges neighbours that are small, which keeps their order.
     """
-    spark = df.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(
-        df.repartitionByRange(ranges, *order).withColumn(_RANGE, F.spark_partition_id()),
-        "ranges",
+        df.repartitionByRange(*order).withColumn(_RANGE, F.spark_partition_id()), "ranges"
     )
     starts = _starts(
         ranged.groupBy(_RANGE).agg(F.sum(weight).alias("__size")), [_RANGE], "__size"
