@@ -26,13 +26,12 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str) -> DataFrame | N
     """
     spark = counts.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    average = counts.select(F.sum(rows) / F.lit(partitions)).scalar()
-    found = (
-        counts.filter((F.col(rows) > HOT_ROWS) & (F.col(rows) > average)).select(*keys).collect()
-    )
-    if not found:
+    size = counts.agg(F.sum(rows).alias("total"), F.max(rows).alias("largest")).head()
+    limit = max(HOT_ROWS, (size["total"] or 0) / partitions)
+    if (size["largest"] or 0) <= limit:
         return None
-    return spark.createDataFrame(found, counts.select(*keys).schema)
+    found = counts.filter(F.col(rows) > limit).select(*keys)
+    return spark.createDataFrame(found.collect(), found.schema)
 
 
 def _matches(left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:

@@ -35,7 +35,7 @@ from pickwise.schemas import (
     TOP_K,
     USER_MAP,
 )
-from pickwise.sources.files import read_jsonl, write_dataset
+from pickwise.sources.files import read_jsonl
 from pickwise.sources.tables import (
     append_collection,
     read_collection,
@@ -189,6 +189,3 @@ def _kept_actions(spark: SparkSession, store: str, current: int | None) -> DataF
         kept = kept.filter(F.col("batch") != current)
     return kept.select(*RATING_COLUMNS)
 
-
-def export_dataset(dataset: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
-    write_dataset(dataset, path, fmt, single_file)

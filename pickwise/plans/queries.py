@@ -105,7 +105,7 @@ def sink_feature_maps(spark, sf_dir):
 @query
 def sink_csv(spark, sf_dir):
     path = scratch_path(spark, "dataset")
-    files.write_dataset(testdata.ratings(spark, sf_dir), path, "csv", single_file=True)
+    files.write_dataset(testdata.ratings(spark, sf_dir), path, "csv")
     return files.read_csv(spark, path, RATINGS)
 
 

@@ -27,10 +27,9 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
-    """Replace the dataset at ``path``; ``single_file`` is for small exports only."""
-    out = df.coalesce(1) if single_file else df
-    writer = out.write.mode("overwrite")
+def write_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace the dataset at ``path``, one part per task; CSV gets a header."""
+    writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

@@ -201,9 +201,8 @@ def test_files(spark, ratings, metadata):
     folder = scratch_path(spark, "files")
     files.write_jsonl(ratings, f"{folder}/r", compression="gzip")
     assert rows(files.read_jsonl(spark, f"{folder}/r", RATINGS, partitions=3)) == rows(ratings)
-    files.write_dataset(ratings.dropna(), f"{folder}/csv", "csv", single_file=True)
+    files.write_dataset(ratings.dropna(), f"{folder}/csv", "csv")
     assert rows(files.read_csv(spark, f"{folder}/csv", RATINGS)) == rows(ratings.dropna())
-    assert len(spark.read.text(f"{folder}/csv").inputFiles()) == 1
     tables.append_collection(metadata.withColumn("_id", F.lit("x")), f"{folder}/c")
     assert tables.read_collection(spark, f"{folder}/c", METADATA).columns == METADATA.names
     assert tables.read_collection(spark, f"{folder}/none", METADATA).count() == 0
