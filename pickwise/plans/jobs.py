@@ -40,7 +40,6 @@ from pickwise.sources.tables import (
     append_collection,
     read_collection,
     read_feature_maps,
-    table_exists,
     write_feature_maps,
 )
 from pickwise.workspace import materialize
@@ -180,12 +179,8 @@ def retrain(
 
 def _kept_actions(spark: SparkSession, store: str, current: int | None) -> DataFrame:
     """Actions kept by earlier batches, without a former attempt of the current one."""
-    path = f"{store}/actions"
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], RATINGS)
     layout = StructType([*RATINGS.fields, StructField("batch", LongType())])
-    kept = spark.read.schema(layout).parquet(path)
+    kept = read_collection(spark, f"{store}/actions", layout)
     if current is not None:
         kept = kept.filter(F.col("batch") != current)
     return kept.select(*RATING_COLUMNS)
-

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,16 +13,14 @@ from pickwise.functions.scalars import join_list
 from pickwise.schemas import FEATURE_MAP, KEYED_RECOMMENDATIONS
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_collection(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A whole collection without its storage id; an absent one is empty."""
-    if not table_exists(spark, path):
+    try:
+        return spark.read.schema(schema).parquet(path).drop("_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).drop("_id")
 
 
 def append_collection(df: DataFrame, path: str) -> None:
@@ -83,11 +82,7 @@ class KeyedTable:
         )
 
     def read(self) -> DataFrame:
-        if not table_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], KEYED_RECOMMENDATIONS)
-        return latest_per_key(
-            self.spark.read.schema(KEYED_RECOMMENDATIONS).parquet(self.path)
-        )
+        return latest_per_key(read_collection(self.spark, self.path, KEYED_RECOMMENDATIONS))
 
     def snapshot(self, path: str) -> "KeyedTable":
         """Write the current view to a new table, rows under the batch that wrote them."""
