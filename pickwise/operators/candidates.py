@@ -125,9 +125,9 @@ def block_best(
     """Candidates left after scoring all pairs: a superset of each user's best rows.
 
     ``users`` has (map_user_id, user_vector), ``items`` (parent_asin, store_id, item_vector);
-    both without repeats, so blocks are even whatever the skew of the source tables.
+    both without repeats, so blocks are even whatever the skew of the source tables. Both are
+    counted and then read: pass written tables.
     """
-    users, items = materialize(users, "block-users"), materialize(items, "block-items")
     context = users.sparkSession.sparkContext
     user_blocks, item_blocks = block_counts(
         users.count(), items.count(), context.defaultParallelism

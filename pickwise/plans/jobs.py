@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from pickwise.models.embeddings import item_vectors, user_vectors
-from pickwise.models.registry import ModelRegistry
+from pickwise.models.registry import ModelRegistry, current_version
 from pickwise.models.training import train_model
 from pickwise.operators.candidates import PairScorer, score_topk
 from pickwise.operators.ranking import recommendation_lists
@@ -101,45 +102,76 @@ class Recommendations:
     unknown_users: DataFrame  # user_id
 
 
+def candidate_items(
+    metadata: DataFrame, feature_maps: DataFrame, embeddings: DataFrame
+) -> DataFrame:
+    """The catalogue as scoring input: a table of distinct (parent_asin, store_id, item_vector)."""
+    items = item_feature_store(
+        metadata, one_feature(feature_maps, ITEM_MAP), one_feature(feature_maps, STORE_MAP)
+    ).distinct()
+    return materialize(item_vectors(items, embeddings, "parent_asin", "store_id"), "items")
+
+
+def unknown_users(requests: DataFrame, user_map: DataFrame) -> DataFrame:
+    """Requesting users without an id; they cannot be scored."""
+    known = F.col("user_id") == F.col("value")
+    return requests.select("user_id").distinct().join(user_map, known, "left_anti")
+
+
 def recommend(
     requests: DataFrame,
-    metadata: DataFrame,
+    items: DataFrame,
     feature_maps: DataFrame,
     embeddings: DataFrame,
     scorer: PairScorer,
     k: int = TOP_K,
     exact: bool = False,
 ) -> Recommendations:
-    """Top-k items per requesting user over the whole catalogue.
+    """Top-k items per requesting user over all ``items`` (from ``candidate_items``).
 
-    Requests are made distinct first, as are catalogue rows; users without an id go to
-    ``unknown_users`` instead of being scored.
+    Requests are made distinct first; users without an id go to ``unknown_users``.
     """
-    users = requests.select("user_id").distinct()
     user_map = one_feature(feature_maps, USER_MAP)
     item_map = one_feature(feature_maps, ITEM_MAP)
-    known = encode(users, "user_id", user_map, "drop", output="map_user_id")
-    unknown = users.join(user_map, F.col("user_id") == F.col("value"), "left_anti")
-    items = item_feature_store(metadata, item_map, one_feature(feature_maps, STORE_MAP)).distinct()
-    best = score_topk(
-        user_vectors(known.select("map_user_id"), embeddings, "map_user_id"),
-        item_vectors(items, embeddings, "parent_asin", "store_id"),
-        scorer,
-        k,
-        exact,
+    known = encode(
+        requests.select("user_id").distinct(), "user_id", user_map, "drop", output="map_user_id"
     )
+    users = user_vectors(known.select("map_user_id"), embeddings, "map_user_id")
+    best = score_topk(materialize(users, "users"), items, scorer, k, exact)
     ranked = decode(decode(best, "map_user_id", user_map, "user_id"), "parent_asin", item_map, "asin")
     ranked = ranked.select("user_id", "asin", "rank")
-    return Recommendations(ranked, recommendation_lists(ranked), unknown)
+    return Recommendations(ranked, recommendation_lists(ranked), unknown_users(requests, user_map))
 
 
-def recommend_latest(
-    requests: DataFrame, metadata: DataFrame, registry: ModelRegistry, maps_path: str, k: int = TOP_K
-) -> Recommendations:
-    """Recommend with the newest model and the vocabularies it was trained with."""
-    network, embeddings, maps_version = registry.load()
-    feature_maps = read_feature_maps(registry.spark, maps_path, maps_version)
-    return recommend(requests, metadata, feature_maps, embeddings, network.pair_scorer(), k)
+class LatestModel:
+    """Recommends with the newest registered model and the vocabularies it was trained with.
+
+    Looks for a new version on every call, so a stream picks it up without a restart. The
+    catalogue is read and encoded once per version, not once per call: an item new since then
+    has no id and could not be scored anyway.
+    """
+
+    def __init__(
+        self,
+        registry: ModelRegistry,
+        read_metadata: Callable[[], DataFrame],
+        maps_path: str,
+        k: int = TOP_K,
+    ):
+        self.registry, self.read_metadata, self.maps_path, self.k = (
+            registry, read_metadata, maps_path, k
+        )
+        self.version, self.inputs = None, None
+
+    def __call__(self, requests: DataFrame) -> Recommendations:
+        newest = current_version(self.registry.versions()).head()
+        if self.inputs is None or newest != self.version:
+            network, embeddings, maps_version = self.registry.load()
+            maps = read_feature_maps(self.registry.spark, self.maps_path, maps_version)
+            items = candidate_items(self.read_metadata(), maps, embeddings)
+            self.inputs = (items, maps, embeddings, network.pair_scorer())
+            self.version = newest
+        return recommend(requests, *self.inputs, k=self.k)
 
 
 def retrain(

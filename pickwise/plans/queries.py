@@ -731,17 +731,17 @@ def prepare_dataset(spark, sf_dir):
     return dataset
 
 
-def _recommend(spark, sf_dir, requests: DataFrame, maps: DataFrame, **options):
-    return jobs.recommend(
-        requests, testdata.metadata(spark, sf_dir), maps, testdata.digit_vectors(maps), fm_scorer,
-        **options,
-    )
+def _recommender(spark, sf_dir) -> Callable[[DataFrame], jobs.Recommendations]:
+    maps = _feature_maps(spark, sf_dir)
+    vectors = testdata.digit_vectors(maps)
+    items = jobs.candidate_items(testdata.metadata(spark, sf_dir), maps, vectors)
+    return lambda requests: jobs.recommend(requests, items, maps, vectors, fm_scorer)
 
 
 @query
 def recommend_topk(spark, sf_dir):
     requests = testdata.actions(spark, sf_dir).select("user_id")
-    result = _recommend(spark, sf_dir, requests, _feature_maps(spark, sf_dir))
+    result = _recommender(spark, sf_dir)(requests)
     return result.lists.select(
         "user_id", scalars.join_list(F.col("top_k_asins")).alias("recommendations")
     )
@@ -754,7 +754,7 @@ def unknown_requests(spark, sf_dir):
         scalars.format_id(F.col("c_custkey") * 2, "U").alias("user_id")
     )
     users = vocabulary.one_feature(testdata.vocabularies(spark, sf_dir, USER_MAP), USER_MAP)
-    return requests.join(users, F.col("user_id") == F.col("value"), "left_anti")
+    return jobs.unknown_users(requests, users)
 
 
 @query
@@ -763,16 +763,9 @@ def candidate_scoring(spark, sf_dir):
     maps = _feature_maps(spark, sf_dir)
     vectors = testdata.digit_vectors(maps)
     users = vocabulary.one_feature(maps, USER_MAP).select(F.col("idx").alias("map_user_id"))
-    items = vocabulary.item_feature_store(
-        testdata.metadata(spark, sf_dir),
-        vocabulary.one_feature(maps, ITEM_MAP),
-        vocabulary.one_feature(maps, STORE_MAP),
-    ).distinct()
-    return score_topk(
-        embeddings.user_vectors(users, vectors, "map_user_id"),
-        embeddings.item_vectors(items, vectors, "parent_asin", "store_id"),
-        fm_scorer, k=3, exact=True,
-    )
+    users = materialize(embeddings.user_vectors(users, vectors, "map_user_id"), "users")
+    items = jobs.candidate_items(testdata.metadata(spark, sf_dir), maps, vectors)
+    return score_topk(users, items, fm_scorer, k=3, exact=True)
 
 
 @query
@@ -821,11 +814,9 @@ def stream_actions(spark, sf_dir):
 @query
 def stream_recommend(spark, sf_dir):
     topic = _topic(spark, testdata.actions(spark, sf_dir).select("user_id"))
-    maps = _feature_maps(spark, sf_dir)
     table = tables.KeyedTable(spark, scratch_path(spark, "keyed"))
     stream_recommendations(
-        streams.message_stream(spark, "files", topic),
-        lambda requests: _recommend(spark, sf_dir, requests, maps),
+        streams.message_stream(spark, "files", topic), _recommender(spark, sf_dir),
         table, scratch_path(spark, "offsets"), trigger=None,
     ).awaitTermination()
     return table.read().select("user_id", "recommendations")

@@ -62,9 +62,9 @@ def test_prepare_equals_join_then_encode(spark, ratings, metadata, maps):
 
 
 def _recommend(metadata, maps, **options):
-    return lambda requests: jobs.recommend(
-        requests, metadata, maps, digit_vectors(maps), fm_scorer, **options
-    )
+    vectors = digit_vectors(maps)
+    items = jobs.candidate_items(metadata, maps, vectors)
+    return lambda requests: jobs.recommend(requests, items, maps, vectors, fm_scorer, **options)
 
 
 def test_recommend_routes_unknown_users(spark, metadata, maps):
@@ -132,12 +132,15 @@ def test_retrain_and_recommend_with_the_newest_model(spark, ratings, metadata):
     assert jobs.retrain(none, folder, registry, f"{folder}/maps") is None
     fresh = spark.createDataFrame([(2000, 5.0, "NEW", "P1"), (None, None, None, None)], ACTION_MESSAGE)
     options = dict(epochs=1, hidden=(4,), size=2)
+    latest = jobs.LatestModel(registry, lambda: metadata, f"{folder}/maps")
     assert jobs.retrain(fresh, folder, registry, f"{folder}/maps", persist_batch=0, **options) == 0
+    assert latest(fresh.select("user_id")).lists.count() == 1 and latest.version["version"] == 0
     assert jobs.retrain(fresh, folder, registry, f"{folder}/maps", persist_batch=0, **options) == 1
     kept = spark.read.parquet(f"{folder}/actions")
     assert kept.count() == 2
     requests = spark.createDataFrame([("NEW",), ("U3",)], "user_id string")
-    result = jobs.recommend_latest(requests, metadata, registry, f"{folder}/maps")
+    result = latest(requests)
+    assert latest.version["version"] == 1
     assert {r.user_id for r in result.lists.collect()} == {"NEW", "U3"}
     assert all(len(r.top_k_asins) >= 5 for r in result.lists.collect())
 
@@ -189,7 +192,8 @@ def test_small_catalogue_from_request_to_list(spark):
         return lambda asked: -abs(items[None, :, 0] - 10.0 * asked[:, [0]] + 0.25)
 
     requests = spark.createDataFrame([(u,) for u in users], "user_id string")
-    lists = jobs.recommend(requests, catalogue, maps, vectors, nearest).lists
+    items = jobs.candidate_items(catalogue, maps, vectors)
+    lists = jobs.recommend(requests, items, maps, vectors, nearest).lists
     got = {r.user_id: r.top_k_asins for r in lists.collect()}
     assert got["A1"] == ["ID_20", "ID_19", "ID_21", "ID_18", "ID_22"]
     assert got["B2"] == ["ID_30", "ID_29", "ID_31", "ID_28", "ID_32"]
