@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, pii
+from pickwise.llm import bpe, decontam, pii, sharding
 from pickwise.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,12 +15,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontam.digests(decontam.find_overlaps(documents, items))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_sharding": op3_sharding,
+    "op5_decontam": op5_decontam,
     "op8_bpe": op8_bpe,
 }
 

@@ -1,0 +1,41 @@
+"""Awkward rows that every operator must take."""
+
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+        # Names that an operator might want for itself.
+        T.StructField("shard", T.StringType()),
+        T.StructField("ids", T.StringType()),
+        T.StructField("n_words", T.StringType()),
+        T.StructField("found", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("hits", T.StringType()),
+    ]
+)
+
+
+def docs(spark, rows):
+    """A table of (doc_id, text) or (doc_id, text, lang) rows with clashing further columns."""
+    full = [
+        (r[0], r[1], r[2] if len(r) > 2 else "en", "s", None if r[1] is None else len(r[1]))
+        + ("x",) * 6
+        for r in rows
+    ]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def empty(spark):
+    return docs(spark, [])
+
+
+LONG = "the quick brown fox, über 12 lazy dogs. " * 30_000
+ROWS = [
+    (1, "plain words of a text"), (2, None), (3, ""), (4, "   \n\t "), (5, LONG), (5, LONG),
+    (None, "a text without an id"), (None, None), (6, "é😀\u2028x\x00y\x1f z\x85"), (7, "plain words of a text"),
+]
