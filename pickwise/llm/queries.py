@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, decontam, pii, sharding
+from pickwise.llm import bpe, decontam, pii, secret_scan, sharding
 from pickwise.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,11 +28,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_sharding": op3_sharding,
     "op5_decontam": op5_decontam,
     "op8_bpe": op8_bpe,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,113 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+from edge import LONG, ROWS, docs, empty
+
+from pickwise.llm import secret_model, secret_scan
+from pickwise.llm.queries import op9_secrets
+
+PATTERNS = [
+    (
+        "assign",
+        re.compile(
+            r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+            re.I | re.A,
+        ),
+        lambda m: len(m[2]) >= 12,
+    ),
+    ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+    ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+]
+
+
+def brute(text):
+    return sorted(
+        (m.start(), n, kind, m.end())
+        for n, (kind, pattern, valid) in enumerate(PATTERNS)
+        for m in pattern.finditer(text or "")
+        if valid(m)
+    )
+
+
+def expected(doc_id, text):
+    spans = brute(text)
+    line = ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+    counts = [sum(x[1] == n for x in spans) for n in range(3)]
+    return (doc_id, *counts, hashlib.sha256(line.encode()).hexdigest())
+
+
+def test_base_spans_as_the_patterns():
+    rng = random.Random(2)
+    parts = [
+        "token", "PASSWORD", "toKen", "api_key", "apikey", "ſecret", "secret", " ", '"', "'",
+        ":", "=", "abcdef", "AKIA", "0123456789abcdef", "Z9", ".", "-", "é", "passwd",
+    ]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert [c for c in secret_scan.candidates(text) if c[1] < 3] == brute(text), text
+
+
+def test_held_out_accuracy():
+    network = secret_model.trained()
+    findings, labels = secret_model.labelled_findings(2000, seed=77)
+    found = network.probabilities(findings) >= network.threshold
+    assert found[labels == 1].mean() >= 0.97
+    assert found[labels == 0].mean() <= 0.03
+
+
+def test_gradients():
+    network = secret_model.Network(1)
+    findings, labels = secret_model.labelled_findings(40)
+    encoded = secret_model.encode(findings)
+
+    def loss():
+        logits = network.logits(encoded).astype(np.float64)
+        return np.mean(np.logaddexp(0, logits) - labels * logits)
+
+    gradients = network._gradients(encoded, labels)
+    for name, at in (("conv", (2, 5, 3)), ("hidden", (30, 2)), ("out", (4,)), ("out_bias", (0,))):
+        weight = network.weights[name]
+        before = weight[at]
+        weight[at] = before + 1e-2
+        high = loss()
+        weight[at] = before - 1e-2
+        low = loss()
+        weight[at] = before
+        assert abs((high - low) / 2e-2 - gradients[name][at]) < 2e-3
+
+
+def test_added_tokens_and_redaction(spark):
+    token = "ghp_" + "a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5P6q7R8"
+    given = [
+        (1, f"use {token} to log in"), (2, "a plain text with some_long_identifier_name_2"),
+        (3, "password = 'Xy12Xy12Xy12' and token: secret=abcdefabcdefabcd1"), (4, None), (5, LONG),
+    ]
+    table = docs(spark, given)
+    spans = {r.doc_id: r.found for r in secret_scan.find_secrets(table).collect()}
+    assert [(x.kind, x.start, x.end) for x in spans[1]] == [("token", 4, 44)] and spans[2] == []
+    got = secret_scan.redact(table)
+    assert got.schema == table.schema
+    assert {r.doc_id: r.text for r in got.collect()} == {
+        1: "use [SECRET] to log in", 2: given[1][1], 3: "[SECRET]' and [SECRET]", 4: None, 5: LONG,
+    }
+
+
+def test_long_texts_are_linear():
+    for text in (":" * 300_000, "token " + " " * 300_000 + "=", "a=" * 200_000, "f" * 500_000, "token" * 90_000):
+        secret_scan.candidates(text)
+
+
+def test_edge_rows(spark):
+    got = secret_scan.digests(secret_scan.find_secrets(docs(spark, ROWS)))
+    assert sorted(repr(tuple(r)[:5]) for r in got.collect()) == sorted(
+        repr(expected(*row)) for row in ROWS
+    )
+    assert secret_scan.find_secrets(empty(spark)).count() == 0
+
+
+def test_query_as_the_patterns(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = op9_secrets(spark, sf_dir).collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(expected(*row) for row in given)
