@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, decontam, pii, secret_scan, sharding
+from pickwise.llm import bpe, decontam, pii, quality, secret_scan, sharding
+from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,10 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.find_overlaps(documents, items))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(quality.assess(table(spark, sf_dir, "documents")))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE))
 
@@ -36,8 +41,9 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_sharding": op3_sharding,
     "op5_decontam": op5_decontam,
+    "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
