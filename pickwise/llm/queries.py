@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, decontam, pii, quality, secret_scan, sharding
+from pickwise.llm import bpe, decontam, html_text, pii, quality, secret_scan, sharding
 from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
@@ -25,6 +25,10 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.find_overlaps(documents, items))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.measured(html_text.extract(table(spark, sf_dir, "pages")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.assess(table(spark, sf_dir, "documents")))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op3_sharding": op3_sharding,
     "op5_decontam": op5_decontam,
+    "op6_html": op6_html,
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
