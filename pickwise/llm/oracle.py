@@ -82,4 +82,41 @@ FROM judged
 """
 
 
-ORACLE_SQL = {"op7_quality": _quality_sql()}
+_CHAT_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+  SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 = 0 AS chosen, conv_id, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS line,
+         repeat('0', 13 + length(role))
+           || repeat(CASE role WHEN 'assistant' THEN '1' ELSE '0' END, length(text) + 11) AS mask
+  FROM t
+), fork AS (
+  SELECT coalesce(a.pair_id, b.pair_id) AS pair_id,
+         min(coalesce(a.pos, b.pos)) FILTER
+           (a.pos IS NULL OR b.pos IS NULL OR a.role <> b.role OR a.text <> b.text) AS pos
+  FROM (SELECT * FROM n WHERE chosen) a
+  FULL JOIN (SELECT * FROM n WHERE NOT chosen) b ON a.pair_id = b.pair_id AND a.pos = b.pos
+  GROUP BY 1
+), p AS (
+  SELECT n.*, coalesce(fork.pos, 1 + max(n.pos) OVER (PARTITION BY n.pair_id)) AS fork
+  FROM n JOIN fork USING (pair_id)
+)
+SELECT pair_id, min(conv_id) FILTER (chosen) AS chosen_id, min(conv_id) FILTER (NOT chosen) AS rejected_id,
+       min(fork) - 1 AS prefix_turns,
+       coalesce(string_agg(line, '' ORDER BY pos) FILTER (chosen AND pos < fork), '') AS prompt,
+       CASE WHEN count(*) FILTER (chosen) > 0 THEN
+         coalesce(string_agg(line, '' ORDER BY pos) FILTER (chosen AND pos >= fork), '') END AS chosen,
+       CASE WHEN count(*) FILTER (chosen) > 0 THEN
+         coalesce(string_agg(mask, '' ORDER BY pos) FILTER (chosen AND pos >= fork), '') END AS chosen_mask,
+       CASE WHEN count(*) FILTER (NOT chosen) > 0 THEN
+         coalesce(string_agg(line, '' ORDER BY pos) FILTER (NOT chosen AND pos >= fork), '') END AS rejected,
+       CASE WHEN count(*) FILTER (NOT chosen) > 0 THEN
+         coalesce(string_agg(mask, '' ORDER BY pos) FILTER (NOT chosen AND pos >= fork), '') END AS rejected_mask
+FROM p GROUP BY pair_id
+"""
+
+
+ORACLE_SQL = {"op2_chat": _CHAT_SQL, "op7_quality": _quality_sql()}

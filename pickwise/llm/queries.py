@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, decontam, html_text, pii, quality, secret_scan, sharding
+from pickwise.llm import bpe, chat, decontam, html_text, pii, quality, secret_scan, sharding
 from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
@@ -16,6 +16,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.neighbour_pairs(table(spark, sf_dir, "conversations"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_chat": op2_chat,
     "op3_sharding": op3_sharding,
     "op5_decontam": op5_decontam,
     "op6_html": op6_html,
