@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, chat, decontam, html_text, pii, quality, secret_scan, sharding
+from pickwise.llm import bpe, chat, decontam, html_text, minhash, pii, quality, secret_scan, sharding
 from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
@@ -24,6 +24,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontam.digests(decontam.find_overlaps(documents, items))
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_chat": op2_chat,
     "op3_sharding": op3_sharding,
+    "op4_minhash": op4_minhash,
     "op5_decontam": op5_decontam,
     "op6_html": op6_html,
     "op7_quality": op7_quality,
