@@ -34,8 +34,12 @@ PIECES = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 
-#: Entries of the tables of known pieces and fragments; a full table is emptied.
+_NEVER = (1 << 60, -1)
+
+#: Entries of each half of the tables of known pieces and fragments.
 KNOWN_PIECES = 1 << 18
+#: Fragments up to this many bytes are merged by looking at all pairs again after each merge.
+SHORT = 32
 #: Pieces longer than this many bytes are not kept.
 KEPT_BYTES = 64
 
@@ -71,6 +75,7 @@ class Vocabulary:
             if len(data) == 1:
                 self.byte_ids[data[0]] = i
         self.together = together
+        self.pairs_together = {(int(a), int(b)) for a, b in np.argwhere(together)}
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
@@ -84,9 +89,13 @@ class Vocabulary:
 
     def cut(self, data: bytes) -> list[bytes]:
         """The fragments between certain cuts."""
-        codes = np.frombuffer(data, np.uint8)
-        at = (np.flatnonzero(~self.together[codes[:-1], codes[1:]]) + 1).tolist()
-        return [data[a:b] for a, b in zip([0, *at], [*at, len(data)])]
+        if len(data) <= SHORT:
+            together = self.pairs_together
+            at = [n for n, pair in enumerate(zip(data, data[1:]), 1) if pair not in together]
+        else:
+            codes = np.frombuffer(data, np.uint8)
+            at = (np.flatnonzero(~self.together[codes[:-1], codes[1:]]) + 1).tolist()
+        return [data[a:b] for a, b in zip([0, *at], [*at, len(data)])] if at else [data]
 
     def piece_ids(self, piece: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self.fragments.__getitem__, self.cut(piece.encode()))))
@@ -94,11 +103,17 @@ class Vocabulary:
     def merge(self, fragment: bytes) -> tuple[int, ...]:
         """Ids of a fragment: the merge of lowest rank first, the leftmost of equals."""
         ids = [self.byte_ids[b] for b in fragment]
-        if len(ids) < 2:
+        merges = self.merges
+        if len(ids) <= SHORT:
+            while len(ids) > 1:
+                found = [(merges.get(pair, _NEVER), n) for n, pair in enumerate(zip(ids, ids[1:]))]
+                (rank, joined), at = min(found)
+                if rank == _NEVER[0]:
+                    break
+                ids[at : at + 2] = [joined]
             return tuple(ids)
         after = [*range(1, len(ids)), -1]
         before = [-1, *range(len(ids) - 1)]
-        merges = self.merges
         queue = []
         for at, pair in enumerate(zip(ids, ids[1:])):
             if found := merges.get(pair):
@@ -136,16 +151,22 @@ class Vocabulary:
 
 
 class _Known(dict):
-    """Results by argument, computed when first asked for, bounded in number."""
+    """Results by argument, computed when first asked for, bounded in number.
+
+    A full table becomes the older half, and a new one is begun: what is still in use moves over.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= KEPT_BYTES:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
