@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, chat, decontam, html_text, minhash, pii, quality, secret_scan, sharding
+from pickwise.llm import bpe, chat, decontam, html_text, minhash, pii, quality, secret_scan, sharding, substrings
 from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
@@ -49,6 +49,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_chat": op2_chat,
@@ -59,6 +63,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
+    "op10_substrings": op10_substrings,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
