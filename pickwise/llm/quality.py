@@ -208,8 +208,9 @@ def assess(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
-    reference = references(_counted(docs.select("text", "lang"), []))
-    return _judged(_features(docs, docs.columns), reference).filter("__kept").select(*docs.columns)
+    # Written once with the rows, so that texts are read once, and no filter is computed from them anew.
+    features = materialize(_features(docs, docs.columns), "quality")
+    return _judged(features, references(features)).filter("__kept").select(*docs.columns)
 
 
 def verdicts(assessed: DataFrame) -> DataFrame:
