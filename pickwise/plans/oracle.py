@@ -338,7 +338,7 @@ _ORACLE = {
     ),
     "sample_with_replacement": """
         SELECT id AS draw, value
-        FROM (SELECT id, CAST('0x' || substr(md5(concat_ws('|', '42', CAST(id AS VARCHAR))), 1, 8) AS BIGINT)
+        FROM (SELECT id, CAST('0x' || substr(md5(concat_ws('|', '42', CAST(id AS VARCHAR))), 1, 15) AS BIGINT)
                      % (SELECT max(idx) + 1 FROM user_map) AS pick FROM range(50) r(id))
              JOIN user_map ON idx = pick""",
     "sample_rows": f"""

@@ -84,6 +84,24 @@ def test_train_test_split(table, fraction):
     assert rows(sampling.train_test_split(df, fraction)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("small", [100_000, 3])
+@pytest.mark.parametrize(
+    "data",
+    [
+        [("x", None)] * 10 + [(None, "x")] * 10,
+        [("x|y", "z")] * 7 + [("x", "y|z")] * 13,
+        [("a", "b")] * 15 + [(None, None)] * 5,
+    ],
+)
+def test_split_of_rows_with_equal_keys(spark, monkeypatch, small, data):
+    monkeypatch.setattr(sampling, "_SMALL", small)
+    df = spark.createDataFrame(data, "a string, b string")
+    for fraction in (0.0, 0.3, 0.6, 0.75, 1.0):
+        got = sampling.train_test_split(df, fraction).collect()
+        assert sorted(map(repr, [(r.a, r.b) for r in got])) == sorted(map(repr, data))
+        assert sum(r.split == "validation" for r in got) == math.ceil(fraction * len(data))
+
+
 def test_results_do_not_depend_on_partitions(table, partitions):
     _, df = table
     results = set()
