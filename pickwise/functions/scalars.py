@@ -48,9 +48,10 @@ def run_id(moment: Column) -> Column:
 
 
 def epoch_seconds(moment: Column) -> Column:
-    """Whole seconds since 1970 of a timestamp without time zone, read as UTC."""
+    """Whole seconds since 1970. A time without time zone is read as UTC, whatever the session's."""
     day = F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    return day * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    clock = day * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return F.when(F.typeof(moment) == "timestamp", F.unix_timestamp(moment)).otherwise(clock)
 
 
 def binarize(target: Column, threshold: float = POSITIVE_THRESHOLD) -> Column:

@@ -7,6 +7,7 @@ A version row holds the dense layers as bytes; its vectors stay a table next to
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,23 @@ class ModelRegistry:
         return read_collection(self.spark, f"{self.path}/history", HISTORY)
 
     def register(
-        self, model: TrainedModel, maps_version: str, moment: dt.datetime | None = None
+        self, model: TrainedModel, maps_version: str, moment: dt.datetime | None = None,
+        source: str | None = None,
     ) -> int:
-        """Store vectors first, then the version row, so a listed version is always complete."""
-        moment = moment or dt.datetime.now()
-        version = next_version(self.versions()).head()["next_version"]
-        vectors = f"{self.path}/embeddings/version={version}"
-        model.embeddings.write.mode("overwrite").partitionBy("feature").parquet(vectors)
-        row = (model.name, moment, model.network.to_bytes(), version, maps_version, vectors)
+        """Store vectors first, then the version row, so a listed version is always complete.
+
+        Vectors have a folder of their own whatever the version. A version number that is listed
+        already (the newest entry by time need not be the last) is refused. ``source`` says what
+        the model was made from; ``registered`` finds it again.
+        """
+        moment = moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        versions = self.versions()
+        version = next_version(versions).head()["next_version"]
+        if not versions.filter(F.col("version") == version).isEmpty():
+            raise ValueError(f"version {version} is registered already")
+        vectors = f"{self.path}/embeddings/{uuid.uuid4().hex}"
+        model.embeddings.write.partitionBy("feature").parquet(vectors)
+        row = (model.name, _utc(moment), model.network.to_bytes(), version, maps_version, vectors, source)
         append_collection(
             self.spark.createDataFrame([row], MODEL_VERSIONS), f"{self.path}/model_versions"
         )
@@ -67,6 +77,11 @@ class ModelRegistry:
             )
         return version
 
+    def registered(self, source: str) -> int | None:
+        """The version made from ``source``, None if there is none."""
+        found = self.versions().filter(F.col("source") == source).select("version").head()
+        return found["version"] if found else None
+
     def load(self) -> tuple[Network, DataFrame, str]:
         """Newest model: its layers, its vectors and the version of its vocabularies."""
         entry = latest_version(self.versions()).head()
@@ -78,6 +93,11 @@ class ModelRegistry:
         return Network.from_bytes(entry["binary"]), vectors, entry["maps_version"]
 
 
+def _utc(moment: dt.datetime) -> dt.datetime:
+    """A time without zone is UTC, whatever the machine's zone."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
+
+
 def history_rows(spark: SparkSession, model: TrainedModel, moment: dt.datetime) -> DataFrame:
     """Metrics per epoch under a run id made of the model name and the time."""
     run = f"{model.name}/{moment:%Y-%m-%d_%H-%M-%S}"

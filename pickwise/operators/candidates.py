@@ -103,14 +103,16 @@ def _best_of_block(k: int, scorer: PairScorer, exact: bool):
         parts = []
         for start in range(0, users.num_rows, step):
             scores = np.asarray(score(user_matrix[start : start + step]), dtype=np.float64)
-            row, column = np.nonzero(_best_places(scores, k, exact))
+            # NaN is no score: it becomes NULL and ranks behind every number.
+            unknown = np.isnan(scores)
+            row, column = np.nonzero(_best_places(np.where(unknown, -np.inf, scores), k, exact))
             parts.append(
                 pa.table(
                     {
                         "map_user_id": pa.array(user_ids[start + row], pa.int32()),
                         "parent_asin": pa.array(asins[column], pa.int32()),
                         "store_id": pa.array(stores[column], pa.int32()),
-                        "predicted_rating": pa.array(scores[row, column]),
+                        "predicted_rating": pa.array(scores[row, column], mask=unknown[row, column]),
                     }
                 )
             )

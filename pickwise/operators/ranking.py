@@ -35,7 +35,7 @@ def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFr
     ranks = split_join(placed, first, [key], ["__key"], hot=hot, null_safe=True).select(
         "__key",
         F.col(score).alias("__score"),
-        (F.col("__before") - F.col("__first") + 1).cast("int").alias(rank),
+        (F.col("__before") - F.col("__first") + 1).alias(rank),
     )
     return _attach(df, key, score, ranks, rank, hot_keys(counts, [key, score], "__n"))
 
@@ -61,10 +61,9 @@ def _best_scores(df: DataFrame, key: str, score: str, k: int, rank: str, copies=
     )
     better = by_score.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        best.withColumn(
-            rank, (F.coalesce(F.sum("__n").over(better), F.lit(0)) + 1).cast("int")
-        )
+        best.withColumn(rank, F.coalesce(F.sum("__n").over(better), F.lit(0)) + 1)
         .filter(F.col(rank) <= k)
+        .withColumn(rank, F.col(rank).cast("int"))
         .select(F.col(key).alias("__key"), F.col(score).alias("__score"), rank, "__n")
     )
 
@@ -123,11 +122,12 @@ def ranks_with_repeats(ranked: DataFrame, repeats: DataFrame, key: str, k: int =
     one row per item with its new rank and the number of copies instead of the copies.
     """
     n = F.col("repeats").cast("long")
-    moved = (n * (F.col("rank") - 1) + 1).cast("int")
+    moved = n * (F.col("rank") - 1) + 1
     return (
         ranked.join(repeats, key)
         .withColumn("rank", moved)
         .filter(F.col("rank") <= k)
+        .withColumn("rank", F.col("rank").cast("int"))
         .withColumnRenamed("repeats", "copies")
     )
 

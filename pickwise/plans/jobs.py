@@ -109,7 +109,8 @@ def candidate_items(
     items = item_feature_store(
         metadata, one_feature(feature_maps, ITEM_MAP), one_feature(feature_maps, STORE_MAP)
     ).distinct()
-    return materialize(item_vectors(items, embeddings, "parent_asin", "store_id"), "items")
+    known = item_vectors(items, embeddings, "parent_asin", "store_id").dropna(subset=["item_vector"])
+    return materialize(known, "items")
 
 
 def unknown_users(requests: DataFrame, user_map: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def recommend(
     known = encode(
         requests.select("user_id").distinct(), "user_id", user_map, "drop", output="map_user_id"
     )
-    users = user_vectors(known.select("map_user_id"), embeddings, "map_user_id")
+    users = user_vectors(known.select("map_user_id"), embeddings, "map_user_id").dropna()
     best = score_topk(materialize(users, "users"), items, scorer, k, exact)
     ranked = decode(decode(best, "map_user_id", user_map, "user_id"), "parent_asin", item_map, "asin")
     ranked = ranked.select("user_id", "asin", "rank")
@@ -163,6 +164,10 @@ class LatestModel:
         )
         self.version, self.inputs = None, None
 
+    def held(self) -> list[DataFrame]:
+        """Scratch tables that later calls read again."""
+        return [self.inputs[0]] if self.inputs else []
+
     def __call__(self, requests: DataFrame) -> Recommendations:
         newest = current_version(self.registry.versions()).head()
         if self.inputs is None or newest != self.version:
@@ -181,32 +186,37 @@ def retrain(
     maps_path: str,
     epochs: int = STREAM_EPOCHS,
     persist_batch: int | None = None,
+    source: str | None = None,
     **training,
 ) -> int | None:
     """Train on stored ratings plus new ``actions`` and register the model; None if no actions.
 
-    ``persist_batch`` also keeps the actions for later runs, once per batch number.
+    ``persist_batch`` also keeps the actions for later runs, once per batch number. A ``source``
+    that a registered model names already (a replayed batch) is not trained again.
     """
     spark = registry.spark
+    if source is not None and (version := registry.registered(source)) is not None:
+        return version
     if actions is not None and actions.isEmpty():
         return None
     history = union_all(
-        read_collection(spark, f"{store}/ratings", RATINGS), _kept_actions(spark, store, persist_batch)
+        read_collection(spark, f"{store}/ratings", RATINGS, required=True),
+        _kept_actions(spark, store, persist_batch)
     )
     if actions is not None:
         actions = actions.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RATINGS.fields]
         )
-    metadata = read_collection(spark, f"{store}/metadata", METADATA)
+    metadata = read_collection(spark, f"{store}/metadata", METADATA, required=True)
     dataset, feature_maps = prepare(union_all(actions, history), metadata)
     dataset = materialize(dataset, "dataset")
     maps_version = uuid.uuid4().hex
     write_feature_maps(feature_maps, maps_path, maps_version)
     model = train_model(dataset, feature_maps, epochs=epochs, **training)
-    version = registry.register(model, maps_version)
     if persist_batch is not None and actions is not None:
         actions.write.mode("overwrite").parquet(f"{store}/actions/batch={persist_batch}")
-    return version
+    # Last, so that a batch that stops before is done again as a whole.
+    return registry.register(model, maps_version, source=source)
 
 
 def _kept_actions(spark: SparkSession, store: str, current: int | None) -> DataFrame:

@@ -11,7 +11,7 @@ _VIEWS = {
         FROM lines""",
     "metadata": """
         SELECT 'P' || p_partkey AS parent_asin, nullif(p_brand, 'Brand#1') AS store
-        FROM part WHERE p_size > 5""",
+        FROM part""",
     "actions": """
         SELECT CAST(floor(epoch(ts)) AS INTEGER) AS timestamp,
                CAST(CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 3
@@ -167,6 +167,28 @@ _LINEAR = """
 
 _MESSAGE_COLUMNS = "timestamp, rating, user_id, parent_asin"
 
+def _network_logit(inputs: int = 24, hidden: tuple[int, ...] = (3, 2)) -> str:
+    """The whole-number network over a list ``v``, layer by layer, as nested selects."""
+    select, names = "SELECT *", [f"v[{n + 1}]" for n in range(inputs)]
+    source = "{rows}"
+    for layer, units in enumerate([*hidden, 1]):
+        columns = []
+        for c in range(units):
+            terms = " + ".join(f"({(7 * r + 3 * c + layer) % 5 - 2}) * {n}" for r, n in enumerate(names))
+            total = f"({terms} + ({c - 1}))"
+            columns.append(f"{total if layer == len(hidden) else f'greatest(0, {total})'} AS h{layer}_{c}")
+        source = f"({select}, {', '.join(columns)} FROM {source})"
+        names = [f"h{layer}_{c}" for c in range(units)]
+    cross = "0.5 * (pow(list_sum(v), 2) - list_sum([x * x for x in v]))"
+    return f"(SELECT *, CAST({names[0]} + {cross} AS FLOAT) AS logit FROM {source})"
+
+
+_NETWORK = _network_logit()
+_REGISTERED = """
+    SELECT 'DeepFM' AS model, 0 AS version, 3::BIGINT AS epochs, count(DISTINCT user_id) AS n_users
+    FROM (SELECT user_id, parent_asin FROM ratings UNION ALL SELECT user_id, parent_asin FROM actions)
+         JOIN metadata USING (parent_asin) WHERE store IS NOT NULL"""
+
 _ORACLE = {
     # sources and sinks
     "scan_jsonl": f"SELECT {_MESSAGE_COLUMNS} FROM ratings",
@@ -189,7 +211,7 @@ _ORACLE = {
         SELECT user_id, arg_max(recommendations, batch_id) AS recommendations
         FROM batches GROUP BY user_id""",
     "sink_recommendations_csv": """
-        SELECT user_id, recommendations AS top_k_asins FROM batches WHERE batch_id = 5""",
+        SELECT user_id, recommendations AS top_k_asins FROM batches""",
     "sink_jsonl": "SELECT * FROM metadata",
     "sink_history": "SELECT * FROM history",
     "registry_append": """
@@ -290,7 +312,7 @@ _ORACLE = {
     # order, ranks, positions
     "rank_predictions": """
         SELECT map_user_id, parent_asin, l_quantity AS predicted_rating,
-               CAST(rank() OVER (PARTITION BY map_user_id ORDER BY l_quantity DESC) AS INTEGER) AS rank
+               CAST(rank() OVER (PARTITION BY map_user_id ORDER BY l_quantity DESC) AS BIGINT) AS rank
         FROM predictions""",
     "topk_per_user": """
         SELECT * FROM (
@@ -369,6 +391,30 @@ _ORACLE = {
             SELECT logit, CASE WHEN rating >= 4.5 THEN 1 ELSE 0 END AS label FROM ({_LINEAR}))
         SELECT (SELECT {_STABLE_LOSS} FROM scored_rows) AS loss,
                ({_AUC.format(rows="SELECT * FROM scored_rows")}) AS roc_auc""",
+    "deepfm_score": "SELECT user_id, parent_asin, store, logit FROM " + _NETWORK.format(rows="""
+        (SELECT e.user_id, e.parent_asin, e.store, list_concat(u.vector, i.vector, s.vector) AS v
+         FROM encoded e JOIN vectors u ON u.feature = 'user_id_map' AND u.idx = e.user_id
+             JOIN vectors i ON i.feature = 'parent_id_map' AND i.idx = e.parent_asin
+             JOIN vectors s ON s.feature = 'store_id_map' AND s.idx = e.store)"""),
+    "train_deepfm": """
+        SELECT 'DeepFM' AS model, CAST(n AS INTEGER) AS epoch, true AS proper, true AS lowered
+        FROM range(10) r(n)""",
+    "train_fm": """
+        SELECT 'FM' AS model, CAST(n AS INTEGER) AS epoch, true AS proper, true AS lowered
+        FROM range(10) r(n)""",
+    "retrain": _REGISTERED,
+    "stream_retrain": _REGISTERED,
+    "sink_sampled_users": """
+        SELECT value FROM (SELECT id, CAST('0x' || substr(md5(concat_ws('|', '42', CAST(id AS VARCHAR))), 1, 15) AS BIGINT)
+                   % (SELECT count(*) FROM user_map) AS idx FROM range(50) r(id)) d
+        JOIN user_map ON user_map.idx = d.idx""",
+    "recommend_latest_model": """
+        SELECT user_id, string_agg(asin, ',' ORDER BY place, asin) AS recommendations
+        FROM (SELECT user_id, asin, rank() OVER (PARTITION BY user_id ORDER BY logit DESC) AS place
+              FROM """ + _NETWORK.format(rows="""
+                (SELECT u.user_id, i.asin, list_concat(u.vector, i.vector) AS v
+                 FROM users u CROSS JOIN items i WHERE u.user_id IN (SELECT user_id FROM actions))""") + """)
+        WHERE place <= 5 GROUP BY user_id""",
     "registry_roundtrip": """
         SELECT feature, count(*) AS n, 1 AS version, 'v2' AS maps_version FROM maps GROUP BY feature""",
     # jobs

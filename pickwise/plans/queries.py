@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pickwise.functions import scalars
 from pickwise.models import embeddings, scoring
 from pickwise.models import registry as reg
-from pickwise.models.network import Network
+from pickwise.models.network import NORM_EPSILON, Network
 from pickwise.models.training import TrainedModel, train_model
 from pickwise.operators import metrics, ordering, ranking, relational, sampling, vocabulary
 from pickwise.operators.candidates import fm_scorer, score_topk
@@ -136,21 +137,21 @@ def kv_upsert(spark, sf_dir):
 
 @query
 def scan_recommendations(spark, sf_dir):
-    rows = testdata.keyed_batches(spark, sf_dir)
-    return tables.latest_per_key(
-        rows.select(
-            "user_id",
-            scalars.join_list(F.col("top_k_asins")).alias("recommendations"),
-            "batch_id",
-        )
-    ).select("user_id", "recommendations")
+    """A stored table of two runs, compacted between them; the later run has the larger ratings."""
+    rows = materialize(testdata.keyed_batches(spark, sf_dir), "batches")
+    table = tables.KeyedTable(spark, scratch_path(spark, "keyed"))
+    for run, batches in (("first", (1, 2, 3)), ("second", (4, 5))):
+        for number, batch in enumerate(batches):
+            lists = rows.filter(F.col("batch_id") == batch)
+            table.upsert(tables.keyed_rows(lists, number), number, run=run)
+        table.compact()
+    return tables.KeyedTable(spark, table.path).read().select("user_id", "recommendations")
 
 
 @query
 def sink_recommendations_csv(spark, sf_dir):
     path = scratch_path(spark, "lists")
-    lists = testdata.keyed_batches(spark, sf_dir).filter(F.col("batch_id") == 5)
-    files.write_recommendations_csv(lists, path)
+    files.write_recommendations_csv(testdata.keyed_batches(spark, sf_dir), path)
     layout = StructType(
         [StructField("user_id", StringType()), StructField("top_k_asins", StringType())]
     )
@@ -672,28 +673,49 @@ def evaluate_model(spark, sf_dir):
     return loss.withColumn("roc_auc", metrics.roc_auc(scored, "logit", "label").scalar())
 
 
+def whole_number_network() -> Network:
+    """A small network of whole numbers, so that any engine gives the same logits."""
+    network = Network.start(3 * EMBEDDING_SIZE, (3, 2))
+    for name, values in network.arrays.items():
+        kind, layer = name[:-1], int(name[-1])
+        if kind == "weight":
+            row, column = np.indices(values.shape)
+            values[:] = (7 * row + 3 * column + layer) % 5 - 2
+        elif kind == "bias":
+            values[:] = np.arange(len(values)) - 1
+        else:
+            # The variance makes the norm's divisor exactly one.
+            values[:] = {"scale": 1.0, "var": 1.0 - NORM_EPSILON}.get(kind, 0.0)
+    return network
+
+
 @query
 def deepfm_score(spark, sf_dir):
     maps, rows = _encoded(spark, sf_dir)
-    network = Network.start(3 * EMBEDDING_SIZE, seed=7)
-    return scoring.score_rows(rows, embeddings.normal_embeddings(maps, seed=7), network)
+    return scoring.score_rows(rows, testdata.digit_vectors(maps), whole_number_network())
 
 
-def _history(spark, model: TrainedModel) -> DataFrame:
-    rows = [(model.name, *[e[c] for c in HISTORY.names[1:]]) for e in model.history]
-    return spark.createDataFrame(rows, HISTORY)
+def _progress(spark, model: TrainedModel) -> DataFrame:
+    """Per epoch whether the metrics are proper numbers, and whether training lowered the loss."""
+    lowered = model.history[-1]["train_loss"] < model.history[0]["train_loss"]
+    rows = []
+    for entry in model.history:
+        losses, areas = ([entry[f"{s}_{m}"] for s in ("train", "test")] for m in ("loss", "roc_auc"))
+        proper = all(x is not None and 0 <= x < math.inf for x in losses) and all(
+            x is not None and 0 <= x <= 1 for x in areas
+        )
+        rows.append((model.name, entry["epoch"], proper, lowered))
+    return spark.createDataFrame(rows, "model string, epoch int, proper boolean, lowered boolean")
 
 
 @query
 def train_deepfm(spark, sf_dir):
-    dataset, maps = _prepared(spark, sf_dir)
-    return _history(spark, train_model(dataset, maps, epochs=1))
+    return _progress(spark, train_model(*_prepared(spark, sf_dir)))
 
 
 @query
 def train_fm(spark, sf_dir):
-    dataset, maps = _prepared(spark, sf_dir)
-    return _history(spark, train_model(dataset, maps, epochs=1, hidden=(), name="FM"))
+    return _progress(spark, train_model(*_prepared(spark, sf_dir), hidden=(), name="FM"))
 
 
 @query
@@ -747,6 +769,30 @@ def recommend_topk(spark, sf_dir):
     )
 
 
+@query
+def recommend_latest_model(spark, sf_dir):
+    """The whole path: a registered model with its vocabularies, found again and used."""
+    folder, maps = scratch_path(spark, "latest"), _feature_maps(spark, sf_dir)
+    registry = reg.ModelRegistry(spark, f"{folder}/registry")
+    tables.write_feature_maps(maps, f"{folder}/maps", "v1")
+    registry.register(TrainedModel(whole_number_network(), testdata.digit_vectors(maps)), "v1")
+    latest = jobs.LatestModel(registry, lambda: testdata.metadata(spark, sf_dir), f"{folder}/maps")
+    result = latest(testdata.actions(spark, sf_dir).select("user_id"))
+    return result.lists.select(
+        "user_id", scalars.join_list(F.col("top_k_asins")).alias("recommendations")
+    )
+
+
+@query
+def sink_sampled_users(spark, sf_dir):
+    """Users drawn with replacement, written to CSV and read back."""
+    path = scratch_path(spark, "sampled")
+    users = vocabulary.one_feature(testdata.vocabularies(spark, sf_dir, USER_MAP), USER_MAP)
+    drawn = sampling.sample_with_replacement(materialize(users, "users"), 50)
+    files.write_dataset(drawn.select("value"), path, "csv")
+    return files.read_csv(spark, path, StructType([StructField("value", StringType())]))
+
+
 @query
 def unknown_requests(spark, sf_dir):
     """Requesting customers without an id, the output for users that cannot be scored."""
@@ -768,16 +814,24 @@ def candidate_scoring(spark, sf_dir):
     return score_topk(users, items, fm_scorer, k=3, exact=True)
 
 
+def _registered(registry: reg.ModelRegistry) -> DataFrame:
+    """The newest model, its epochs and the users it has vectors for."""
+    _, vectors, _ = registry.load()
+    return reg.current_version(registry.versions()).select(
+        "model", "version",
+        registry.history().agg(F.count("*").alias("epochs")).scalar().alias("epochs"),
+        vectors.filter(F.col("feature") == USER_MAP).agg(F.count("*").alias("n")).scalar().alias("n_users"),
+    )
+
+
 @query
 def retrain(spark, sf_dir):
     folder = scratch_path(spark, "retrain")
     tables.append_collection(testdata.ratings(spark, sf_dir), f"{folder}/ratings")
     tables.append_collection(testdata.metadata(spark, sf_dir), f"{folder}/metadata")
     registry = reg.ModelRegistry(spark, f"{folder}/registry")
-    jobs.retrain(
-        testdata.actions(spark, sf_dir), folder, registry, f"{folder}/maps", epochs=1
-    )
-    return reg.current_version(registry.versions()).select("model", "version")
+    jobs.retrain(testdata.actions(spark, sf_dir), folder, registry, f"{folder}/maps")
+    return _registered(registry)
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -855,6 +909,6 @@ def stream_retrain(spark, sf_dir):
     stream_retraining(
         streams.message_stream(spark, "files", _topic(spark, testdata.actions(spark, sf_dir))),
         folder, registry, f"{folder}/maps", scratch_path(spark, "offsets"),
-        trigger=None, epochs=1,
+        trigger=None,
     ).awaitTermination()
-    return reg.current_version(registry.versions()).select("model", "version")
+    return _registered(registry)

@@ -64,8 +64,14 @@ FEATURE_MAP = _layout(("feature", StringType()), ("value", StringType()), ("idx"
 RECOMMENDATION_LISTS = _layout(
     ("user_id", StringType()), ("top_k_asins", ArrayType(StringType()))
 )
-KEYED_RECOMMENDATIONS = _layout(
-    ("user_id", StringType()), ("recommendations", StringType()), ("batch_id", LongType())
+KEYED_ROWS = _layout(
+    ("user_id", StringType()), ("recommendations", StringType()), ("run", LongType()), ("batch_id", LongType())
+)
+RUNS = _layout(("name", StringType()), ("run", LongType()))
+COMPACTIONS = _layout(
+    ("number", LongType()),
+    ("folder", StringType()),
+    ("covered", ArrayType(_layout(("run", LongType()), ("batch_id", LongType())))),
 )
 MODEL_VERSIONS = _layout(
     ("model", StringType()),
@@ -74,6 +80,7 @@ MODEL_VERSIONS = _layout(
     ("version", IntegerType()),
     ("maps_version", StringType()),
     ("embeddings_path", StringType()),
+    ("source", StringType()),
 )
 HISTORY = _layout(
     ("run_id", StringType()),

@@ -38,14 +38,10 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue without the smallest items, and with one brand turned into NULL stores."""
-    return (
-        table(spark, sf_dir, "part")
-        .filter(F.col("p_size") > 5)
-        .select(
-            _text_id("P", "p_partkey").alias("parent_asin"),
-            F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("store"),
-        )
+    """The whole catalogue, with one brand turned into NULL stores."""
+    return table(spark, sf_dir, "part").select(
+        _text_id("P", "p_partkey").alias("parent_asin"),
+        F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("store"),
     )
 
 

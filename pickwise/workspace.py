@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -28,16 +30,56 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables that ``materialize`` writes inside, all but those given to ``keep``.
+
+    For work that repeats (a micro-batch, an epoch) and is finished when the scope ends. Scopes
+    nest; a kept table belongs to the scope around.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    kept: set[str] = set()
+
+    def keep(*tables: DataFrame) -> None:
+        for table in tables:
+            kept.update(path for path in paths if any(f.startswith(path) for f in _files(table)))
+
+    try:
+        yield keep
+    finally:
+        _open_scopes.remove(paths)
+        for path in paths:
+            if path not in kept:
+                delete_folder(spark, path)
+            elif _open_scopes:
+                _open_scopes[-1].append(path)
+
+
+def _files(table: DataFrame) -> list[str]:
+    """The files a table reads, as plain paths."""
+    return [re.sub("^file:/+", "/", name) for name in table.inputFiles()]
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a table and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if _open_scopes:
+        _open_scopes[-1].append(re.sub("^file:/+", "/", path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete every scratch table this application wrote."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return delete_folder(spark, scratch_root(spark))

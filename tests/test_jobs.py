@@ -1,6 +1,7 @@
 """Whole jobs, streams, restarts and replays."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -112,8 +113,31 @@ def test_replayed_batch_leaves_the_table_unchanged(spark):
         if batch == 1:
             assert rows(table.read()) == [("U1", "d", 1), ("U2", "c", 0)]
     assert rows(table.read()) == [("U1", "d", 1), ("U2", "c", 0)]
-    copy = table.snapshot(scratch_path(spark, "snapshot"))
-    assert rows(copy.read()) == rows(table.read())
+    for _ in range(3):
+        table.compact()
+        assert rows(tables.KeyedTable(spark, table.path).read()) == [("U1", "d", 1), ("U2", "c", 0)]
+    table.upsert(tables.keyed_rows(first, 2), 2)
+    assert rows(table.read()) == [("U1", "a,b", 2), ("U2", "c", 2)]
+
+
+def test_runs_do_not_overwrite_each_other(spark):
+    """Batch numbers begin anew with a new checkpoint; a restart goes on with its own."""
+    table = tables.KeyedTable(spark, scratch_path(spark, "keyed"))
+    lists = lambda *r: spark.createDataFrame(r, "user_id string, top_k_asins array<string>")
+
+    def put(run, batch, *r):
+        table.upsert(tables.keyed_rows(lists(*r), batch), batch, run=run)
+
+    put("one", 0, ("U1", ["a"]), ("U2", ["b"]))
+    put("one", 1, ("U3", ["c"]))
+    put("two", 0, ("U1", ["d"]))
+    again = tables.KeyedTable(spark, table.path)
+    assert again.run_number("one") == 0 and again.run_number("two") == 1
+    assert {r.user_id: r.recommendations for r in again.read().collect()} == {"U1": "d", "U2": "b", "U3": "c"}
+    table.compact()
+    put("two", 1, ("U2", ["e"]))
+    table.compact()
+    assert {r.user_id: r.recommendations for r in again.read().collect()} == {"U1": "d", "U2": "e", "U3": "c"}
 
 
 def test_partition_writer(spark):
@@ -143,6 +167,10 @@ def test_retrain_and_recommend_with_the_newest_model(spark, ratings, metadata):
     assert latest.version["version"] == 1
     assert {r.user_id for r in result.lists.collect()} == {"NEW", "U3"}
     assert all(len(r.top_k_asins) >= 5 for r in result.lists.collect())
+    once = [jobs.retrain(fresh, folder, registry, f"{folder}/maps", source="s:7", **options) for _ in range(2)]
+    assert once == [2, 2] and registry.versions().count() == 3
+    with pytest.raises(AnalysisException):
+        jobs.retrain(fresh, f"{folder}/mistyped", registry, f"{folder}/maps", **options)
 
 
 def test_stream_retrain_skips_empty_batches(spark, ratings, metadata):
