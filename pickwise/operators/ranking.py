@@ -16,9 +16,24 @@ from pickwise.workspace import materialize
 def rank_rows(df: DataFrame, key: str, score: str, rank: str = "rank") -> DataFrame:
     """Rank of every row within its key by descending score, gaps after ties.
 
-    A rank is one plus the number of better rows of the key, so it follows from counts per
-    (key, score): a key with a third of all rows is spread over many ranges, not one window.
+    One count per key names the hot keys. All others are ranked by a window; rows of hot keys by
+    counts per (key, score), so that no key meets in one task. ``df`` is read more than once.
     """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = hot_keys(counts, [key], "__rows")
+    best = Window.partitionBy(key).orderBy(F.desc_nulls_last(score))
+    ranks = F.rank().over(best).cast("long")
+    if hot is None:
+        return df.withColumn(rank, ranks)
+    few = F.broadcast(hot.toDF("__hot"))
+    is_hot = F.col(key).eqNullSafe(F.col("__hot"))
+    plain = df.join(few, is_hot, "left_anti").withColumn(rank, ranks)
+    return plain.unionByName(_counted_ranks(df.join(few, is_hot, "left_semi"), key, score, rank))
+
+
+def _counted_ranks(df: DataFrame, key: str, score: str, rank: str) -> DataFrame:
+    """A rank is one plus the number of better rows of the key, so it follows from counts per
+    (key, score): the rows of a key are spread over many ranges, not one window."""
     counts = materialize(
         df.groupBy(key, score).agg(F.count(F.lit(1)).alias("__n")), "score-counts"
     )

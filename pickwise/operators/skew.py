@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # A key is never hot with fewer rows than this: one task handles them at once.
 HOT_ROWS = 100_000
+# Rows of the right side for hot keys up to which they are broadcast; more are copied per salt.
+BROADCAST_ROWS = 200_000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str) -> DataFrame | None:
@@ -54,8 +56,9 @@ def split_join(
 ) -> DataFrame:
     """Join on differently named keys, the rows of ``hot`` keys without a shuffle.
 
-    ``hot`` (from ``hot_keys``) has the columns ``left_keys``. The right side must have few
-    rows per hot key, as a lookup table has.
+    ``hot`` (from ``hot_keys``) has the columns ``left_keys``. The right side's rows for hot keys
+    are counted: few are broadcast, more are copied to every salt, and the left rows of hot keys
+    are then spread over the salts by a shuffle.
     """
     condition = _matches(left_keys, right_keys, null_safe)
     if hot is None:
@@ -64,6 +67,18 @@ def split_join(
     few = F.broadcast(hot.toDF(*marks))
     is_hot = _matches(left_keys, marks, True)
     right_hot = right.join(few, _matches(right_keys, marks, True), "left_semi")
-    in_place = left.join(few, is_hot, "left_semi").join(F.broadcast(right_hot), condition, how)
+    left_hot = left.join(few, is_hot, "left_semi")
+    if right_hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        in_place = left_hot.join(F.broadcast(right_hot), condition, how)
+    else:
+        salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = left_hot.withColumn(
+            "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+        )
+        copies = right_hot.withColumn(
+            "__copy_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        )
+        same_salt = F.col("__salt") == F.col("__copy_salt")
+        in_place = salted.join(copies, condition & same_salt, how).drop("__salt", "__copy_salt")
     shuffled = left.join(few, is_hot, "left_anti").join(right, condition, how)
     return in_place.unionByName(shuffled)

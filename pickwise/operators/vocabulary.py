@@ -76,12 +76,17 @@ def encode(
     return joined.withColumn(output or column, found).drop("__value", "__idx")
 
 
-def decode(df: DataFrame, column: str, feature_map: DataFrame, output: str) -> DataFrame:
-    """Add the original value of the id in ``column``; unknown ids give NULL."""
+def decode(
+    df: DataFrame, column: str, feature_map: DataFrame, output: str, hot: DataFrame | None = None
+) -> DataFrame:
+    """Add the original value of the id in ``column``; unknown ids give NULL.
+
+    ``hot`` names ids that are looked up without a shuffle.
+    """
     lookup = feature_map.select(
         F.col("idx").alias("__idx"), F.col("value").alias(output)
     )
-    return df.join(lookup, F.col(column) == F.col("__idx"), "left").drop("__idx")
+    return split_join(df, lookup, [column], ["__idx"], how="left", hot=hot).drop("__idx")
 
 
 def item_feature_store(

@@ -138,8 +138,12 @@ def recommend(
         requests.select("user_id").distinct(), "user_id", user_map, "drop", output="map_user_id"
     )
     users = user_vectors(known.select("map_user_id"), embeddings, "map_user_id").dropna()
-    best = score_topk(materialize(users, "users"), items, scorer, k, exact)
-    ranked = decode(decode(best, "map_user_id", user_map, "user_id"), "parent_asin", item_map, "asin")
+    best = materialize(score_topk(materialize(users, "users"), items, scorer, k, exact), "best")
+    # A popular item is in many lists.
+    per_item = best.groupBy("parent_asin").agg(F.count(F.lit(1)).alias("rows"))
+    hot_items = hot_keys(per_item, ["parent_asin"], "rows")
+    named = decode(best, "map_user_id", user_map, "user_id")
+    ranked = decode(named, "parent_asin", item_map, "asin", hot=hot_items)
     ranked = ranked.select("user_id", "asin", "rank")
     return Recommendations(ranked, recommendation_lists(ranked), unknown_users(requests, user_map))
 

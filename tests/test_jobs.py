@@ -205,28 +205,28 @@ def test_console_sink_and_processing_time(spark):
 
 
 def test_small_catalogue_from_request_to_list(spark):
-    """Four users, a hundred items (i, i) named ID_i, a score that prefers items near 10 * user."""
-    users = {"A1": 2, "B2": 3, "C3": 1, "D4": 0}
+    """Three shoppers, sixty goods on a line, a score that prefers goods near 7 * shopper + 3."""
+    users = {"ana": 5, "ben": 0, "eve": 8}
+    goods = [f"good-{n:02d}" for n in range(60)]
     maps = spark.createDataFrame(
         [(USER_MAP, name, idx) for name, idx in users.items()]
-        + [(ITEM_MAP, f"ID_{i}", i) for i in range(100)]
-        + [(STORE_MAP, f"S{i}", i) for i in range(100)],
+        + [(ITEM_MAP, name, n) for n, name in enumerate(goods)]
+        + [(STORE_MAP, "shop", 0)],
         "feature string, value string, idx int",
     )
-    catalogue = spark.createDataFrame([(f"ID_{i}", f"S{i}") for i in range(100)], METADATA)
+    catalogue = spark.createDataFrame([(name, "shop") for name in goods], METADATA)
     vectors = maps.select("feature", "idx", F.array(F.col("idx").cast("float")).alias("vector"))
 
     def nearest(items):
-        return lambda asked: -abs(items[None, :, 0] - 10.0 * asked[:, [0]] + 0.25)
+        return lambda asked: -abs(items[None, :, 0] - 7.0 * asked[:, [0]] - 3.0 + 0.25)
 
     requests = spark.createDataFrame([(u,) for u in users], "user_id string")
     items = jobs.candidate_items(catalogue, maps, vectors)
     lists = jobs.recommend(requests, items, maps, vectors, nearest).lists
     got = {r.user_id: r.top_k_asins for r in lists.collect()}
-    assert got["A1"] == ["ID_20", "ID_19", "ID_21", "ID_18", "ID_22"]
-    assert got["B2"] == ["ID_30", "ID_29", "ID_31", "ID_28", "ID_32"]
-    assert got["C3"] == ["ID_10", "ID_9", "ID_11", "ID_8", "ID_12"]
-    assert got["D4"] == ["ID_0", "ID_1", "ID_2", "ID_3", "ID_4"]
+    for name, idx in users.items():
+        wanted = sorted(range(60), key=lambda n: abs(n - 7 * idx - 3 + 0.25))[:5]
+        assert got[name] == [goods[n] for n in wanted]
 
 
 def test_files(spark, ratings, metadata):
