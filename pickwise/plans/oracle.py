@@ -194,6 +194,7 @@ _ORACLE = {
     "scan_jsonl": f"SELECT {_MESSAGE_COLUMNS} FROM ratings",
     "scan_csv": "SELECT * FROM joined",
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem WHERE l_quantity >= 45",
+    "scan_parquet_whole": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
     "scan_collection": "SELECT * FROM metadata",
     "inline_relation": """
         SELECT name, count(*) AS n FROM ratings JOIN (VALUES (1.0, 'poor'), (2.0, 'fair'),

@@ -80,6 +80,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(table: DataFrame) -> None:
+    """Delete the folder of a table that ``materialize`` gave."""
+    for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+        delete_folder(table.sparkSession, folder)
+
+
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete every scratch table this application wrote."""
     return delete_folder(spark, scratch_root(spark))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pickwise.functions import scalars
 from pickwise.models import registry
-from pickwise.operators import relational, vocabulary
+from pickwise.operators import ordering, relational, vocabulary
 from pickwise.schemas import (
     ACTION_MESSAGE,
     ITEM_MAP,
@@ -134,3 +134,14 @@ def test_epoch_seconds_in_any_zone(spark):
             assert tuple(row) == (1600000000, 1600000000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_promised_orders(spark):
+    data = [(n * 7 % 50, f"v{n % 9 % 4}", [f"v{n % 5}", "x"]) for n in range(200)] + [(None, None, ["x"])]
+    df = spark.createDataFrame(data, "time int, value string, features array<string>").repartition(7)
+    times = [r.time for r in ordering.sort_by(df, "time").collect()]
+    assert times == sorted(times, key=lambda t: (t is not None, t or 0))
+    counts = [(r.value, r.n) for r in relational.value_counts(df, "value").collect()]
+    assert counts == sorted(counts, key=lambda c: (-c[1], c[0])) and None not in dict(counts)
+    top = [(r.value, r.n) for r in relational.explode_value_counts(df, "features", 3).collect()]
+    assert top == [("x", 201), ("v0", 40), ("v1", 40)]

@@ -51,6 +51,18 @@ def test_split_join_equals_join(spark, ratings, how, null_safe):
     assert rows(skew.split_join(*args, hot=hot, null_safe=null_safe)) == expected
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_large_right_side_is_copied_to_salts(spark, monkeypatch, partitions, how):
+    """The rows for hot keys are not broadcast above the limit, and the result stays the same."""
+    partitions(5)
+    left = spark.createDataFrame([("a", n) for n in range(60)] + [("b", 1), ("z", 2)], "k string, n int")
+    right = spark.createDataFrame([("a", f"x{n}") for n in range(6)] + [("b", "y")], "r string, v string")
+    hot = spark.createDataFrame([("a",)], "k string")
+    expected = rows(skew.split_join(left, right, ["k"], ["r"], how))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
+    assert rows(skew.split_join(left, right, ["k"], ["r"], how, hot=hot)) == expected
+
+
 def test_jobs_give_the_same_with_hot_keys(spark, ratings, metadata, low_limit, partitions):
     partitions(16)
     found = []

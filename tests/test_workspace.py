@@ -15,3 +15,28 @@ def test_scratch_tables(spark, monkeypatch):
     assert df.count() == 10 and os.listdir(own)
     assert workspace.drop_scratch(spark)
     assert not os.path.exists(own)
+
+
+def test_scope_deletes_all_but_what_is_kept(spark, monkeypatch):
+    own = workspace.scratch_path(spark, "scope")
+    monkeypatch.setattr(workspace, "scratch_root", lambda _: own)
+    with workspace.scratch_scope(spark) as outer:
+        with workspace.scratch_scope(spark) as keep:
+            kept = workspace.materialize(spark.range(3), "kept")
+            workspace.materialize(spark.range(4), "gone")
+            keep(kept)
+        assert [name.split("-")[0] for name in os.listdir(own)] == ["kept"] and kept.count() == 3
+        last = workspace.materialize(spark.range(5), "last")
+        outer(last)
+    assert [name.split("-")[0] for name in os.listdir(own)] == ["last"] and last.count() == 5
+
+
+def test_scope_cleans_up_after_an_error(spark, monkeypatch):
+    own = workspace.scratch_path(spark, "scope")
+    monkeypatch.setattr(workspace, "scratch_root", lambda _: own)
+    try:
+        with workspace.scratch_scope(spark):
+            workspace.materialize(spark.range(3), "gone")
+            raise ValueError
+    except ValueError:
+        assert os.listdir(own) == []
