@@ -4,7 +4,7 @@ A text is cut into pieces by the pattern of the vocabulary file. Inside a piece,
 bytes that stand together in no token of the vocabulary can never be merged over, so the piece is
 cut between them for certain: the fragments are encoded independently of each other and the ids
 concatenated. Fragments recur far more often than pieces, so their ids are kept in a bounded table
-per Python worker.
+for the length of a task.
 
 Null counts as an empty text and gives no ids. Rows are independent: repeated rows give repeated
 results, an empty table gives an empty one, columns other than ``doc_id`` and ``text`` are ignored.
@@ -146,6 +146,12 @@ class Vocabulary:
                 out.extend(chain.from_iterable(map(self.known.__getitem__, pieces)))
         return out
 
+    def forget(self) -> None:
+        """Empty the tables, for a worker that may next wait for long."""
+        for known in (self.known, self.fragments):
+            known.clear()
+            known.older = {}
+
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -200,6 +206,8 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                 [batch.column("doc_id"), lists, pa.array(decoded, pa.string())],
                 ["doc_id", "ids", "decoded"],
             )
+        words.forget()
+        pa.default_memory_pool().release_unused()
 
     return texts(docs).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
 
