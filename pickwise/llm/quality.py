@@ -208,9 +208,13 @@ def assess(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
-    # Written once with the rows, so that texts are read once, and no filter is computed from them anew.
-    features = materialize(_features(docs, docs.columns), "quality")
-    return _judged(features, references(features)).filter("__kept").select(*docs.columns)
+    # A row of counts per row, as a generator's output: filters on them are not moved below it,
+    # where every use of a count would compute it anew.
+    features = _features(docs, docs.columns)
+    counts = [c for c in features.columns if c not in docs.columns]
+    features = features.select(*docs.columns, F.inline(F.array(F.struct(*counts))))
+    reference = references(_counted(docs.select("text", "lang"), []))
+    return _judged(features, reference).filter("__kept").select(*docs.columns)
 
 
 def verdicts(assessed: DataFrame) -> DataFrame:
