@@ -163,11 +163,9 @@ def _as_batch(columns: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBa
 
 
 _BLOBS = {"shard": pa.int32(), "blob": pa.binary()}
-_ENTRIES = ("<u8", "<u8", "<u2", "<u4", "<u1", "<i8", "<i8")
-_PIECES = {
-    "key": pa.binary(), "kind": pa.int8(), "start": pa.int32(), "windows": pa.int32(), "anchor": pa.int64(),
-}
-PIECES = "key binary, kind byte, start int, windows int, anchor long"
+_ENTRIES = ("<u4", "<u8", "<u2", "<u4", "<u1", "<i8", "<i8")
+#: ``place`` holds a run of windows in one number: shard, first word (4 bytes) and windows (1 byte).
+PIECES = "key binary, kind byte, place long"
 #: Rows of a blob that refer to texts by two bytes.
 _MOST_ROWS = 1 << 15
 
@@ -223,7 +221,9 @@ def _fingerprints(classes: DataFrame, shards: int, hot: np.ndarray) -> DataFrame
                     rows, ref = np.unique(row[part], return_inverse=True)
                     live = int(kept[part].sum())
                     return _pack(
-                        anchor[part[:live]], content[part[:live]], ref.astype(np.uint16),
+                        # A shard has one residue of its anchors, so it needs only what is left of them.
+                        (anchor[part[:live]] // np.uint64(shards)).astype(np.uint32), content[part[:live]],
+                        ref.astype(np.uint16),
                         start[part].astype(np.uint32), windows[part].astype(np.uint8), docs[rows],
                         keys[rows].reshape(-1),
                     )
@@ -240,19 +240,19 @@ def _by_shard(batches: Iterator[pa.RecordBatch], *kinds: str):
     for batch in batches:
         for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("blob").to_pylist()):
             if shard != current and blobs:
-                yield blobs
+                yield current, blobs
                 blobs = []
             current = shard
             blobs.append(_unpack(blob, *kinds))
     if blobs:
-        yield blobs
+        yield current, blobs
 
 
 def _pieces(fingerprints: DataFrame) -> DataFrame:
     """Segments that go, and those whose words the index needs, by class key."""
 
     def run(batches):
-        for blobs in _by_shard(batches, *_ENTRIES):
+        for shard, blobs in _by_shard(batches, *_ENTRIES):
             parts = []
             for anchor, content, ref, start, windows, docs, keys in blobs:
                 live, ref = len(anchor), ref.astype(np.int64)
@@ -264,8 +264,7 @@ def _pieces(fingerprints: DataFrame) -> DataFrame:
             anchor, content, docs, start, windows, keys, late_start, late_windows, late_keys = (
                 np.concatenate(x) for x in zip(*parts)
             )
-            # The anchor counts to the content: equal fingerprints under different anchors are not merged.
-            first = _earliest(mix(anchor) ^ content, docs, start)
+            first = _earliest(content, docs, start)
             gone = ~first
             # A first place is wanted if its anchor has another content.
             names, which = np.unique(anchor, return_inverse=True)
@@ -274,34 +273,35 @@ def _pieces(fingerprints: DataFrame) -> DataFrame:
             np.minimum.at(low, which, content)
             np.maximum.at(high, which, content)
             wanted = first & (low != high)[which]
-            for kind, some, s, w, k, a in (
-                (REMOVED, gone, start, windows, keys, anchor),
-                (WANTED, wanted, start, windows, keys, anchor),
-                (REMOVED, np.ones(len(late_start), bool), late_start, late_windows, late_keys, None),
+            for kind, some, s, w, k in (
+                (REMOVED, gone, start, windows, keys),
+                (WANTED, wanted, start, windows, keys),
+                (REMOVED, np.ones(len(late_start), bool), late_start, late_windows, late_keys),
             ):
-                count = int(some.sum())
-                if count:
-                    yield _piece_batch(k[some], kind, s[some], w[some], a[some] if a is not None else None)
+                if some.any():
+                    yield _piece_batch(k[some], kind, s[some], w[some], shard)
 
     return fingerprints.mapInArrow(run, PIECES)
 
 
-def _piece_batch(keys, kind, start, windows, anchor=None) -> pa.RecordBatch:
+def _piece_batch(keys, kind, start, windows, shard=0) -> pa.RecordBatch:
     raw = np.ascontiguousarray(keys).tobytes()
     count = len(start)
-    key = pa.Array.from_buffers(
-        pa.binary(16), count, [None, pa.py_buffer(raw)]
-    ).cast(pa.binary())
-    anchors = np.zeros(count, np.int64) if anchor is None else anchor.astype(np.int64)
+    key = pa.Array.from_buffers(pa.binary(16), count, [None, pa.py_buffer(raw)]).cast(pa.binary())
+    place = (shard << 40) | (np.asarray(start, np.int64) << 8) | np.asarray(windows, np.int64)
     return pa.RecordBatch.from_arrays(
-        [
-            key, pa.array(np.full(count, kind, np.int8)), pa.array(np.asarray(start).astype(np.int32)),
-            pa.array(np.asarray(windows).astype(np.int32)), pa.array(anchors),
-        ],
-        list(_PIECES),
+        [key, pa.array(np.full(count, kind, np.int8)), pa.array(place)], ["key", "kind", "place"]
     )
 
 
+def _places(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word, windows and shard of every place in the lists."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    place = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(lists)), size)
+    return row, (place >> 8) & 0xFFFFFFFF, place & 0xFF, place >> 40
+
+
 _WORDS = ("<i8", "<u1", "<u4", "<i8", "<i8", "<u8", "<u2")
 #: Segments of a blob whose different words can be numbered by two bytes.
 _MOST_SEGMENTS = 2000
@@ -318,13 +318,7 @@ def _wanted_words(classes: DataFrame, pieces: DataFrame, shards: int) -> DataFra
             lists = batch.column("wanted")
             for begin, _, _, _, first, words in _texts_of(batch):
                 rows = len(first) - 1
-                some = lists.slice(begin, rows)
-                size = np.diff(some.offsets.to_numpy())
-                flat = some.flatten()
-                start = flat.field("start").to_numpy(zero_copy_only=False).astype(np.int64)
-                windows = flat.field("windows").to_numpy(zero_copy_only=False).astype(np.int64)
-                anchor = flat.field("anchor").to_numpy(zero_copy_only=False).astype(np.uint64)
-                row = np.repeat(np.arange(rows), size)
+                row, start, windows, shard = _places(lists.slice(begin, rows))
                 absolute, row = start + first[row], row + begin
 
                 def make(part, known=(absolute, windows, start, row, docs, keys, words)):
@@ -338,8 +332,8 @@ def _wanted_words(classes: DataFrame, pieces: DataFrame, shards: int) -> DataFra
                         keys[row[part], 0].copy(), keys[row[part], 1].copy(), values, codes.astype(np.uint16),
                     )
 
-                shard = (anchor % np.uint64(shards)).astype(np.int32)
-                yield _as_batch(_BLOBS, list(_blob_rows(shard, make, _MOST_SEGMENTS)))
+                rows_out = _blob_rows(shard.astype(np.int32), make, _MOST_SEGMENTS)
+                yield _as_batch(_BLOBS, list(rows_out))
 
     sent = joined.mapInArrow(run, "shard int, blob binary")
     return sent.repartitionById(shards, "shard").sortWithinPartitions("shard")
@@ -382,7 +376,7 @@ def _matched(words: DataFrame) -> DataFrame:
     """Runs of windows that go, found by each shard's index."""
 
     def run(batches):
-        for blobs in _by_shard(batches, *_WORDS):
+        for _, blobs in _by_shard(batches, *_WORDS):
             docs = np.concatenate([x[0] for x in blobs])
             windows = np.concatenate([x[1] for x in blobs]).astype(np.int64)
             start = np.concatenate([x[2] for x in blobs]).astype(np.int64)
@@ -419,12 +413,8 @@ def _cut(classes: DataFrame, gone: DataFrame) -> DataFrame:
             for begin, part, starts, ends, first, _ in _texts_of(batch):
                 rows = len(first) - 1
                 marks = np.zeros(len(starts) + 1, np.int64)
-                some = lists.slice(begin, rows)
-                size = pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)
-                flat = some.flatten()
-                row = np.repeat(np.arange(rows), size)
-                begins = flat.field("start").to_numpy(zero_copy_only=False).astype(np.int64) + first[row]
-                widths = flat.field("windows").to_numpy(zero_copy_only=False).astype(np.int64) + WINDOW - 1
+                row, begins, widths, _ = _places(lists.slice(begin, rows))
+                begins, widths = begins + first[row], widths + WINDOW - 1
                 np.add.at(marks, begins, 1)
                 np.add.at(marks, begins + widths, -1)
                 out = np.cumsum(marks[:-1]) > 0
@@ -468,12 +458,12 @@ def cut_classes(docs: DataFrame) -> DataFrame:
     classes = _keyed(docs).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
     found = _pieces(_fingerprints(classes, shards, hot))
     part = lambda kind: F.collect_list(
-        F.when(F.col("kind") == kind, F.struct("start", "windows", "anchor"))
+        F.when(F.col("kind") == kind, F.col("place"))
     )
     pieces = found.groupBy("key").agg(part(REMOVED).alias("gone"), part(WANTED).alias("wanted"))
     matched = _matched(_wanted_words(classes, pieces, shards))
-    more = matched.groupBy("key").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("more"))
-    empty = F.array().cast(pieces.schema["gone"].dataType)
+    more = matched.groupBy("key").agg(F.collect_list("place").alias("more"))
+    empty = F.array().cast("array<bigint>")
     gone = pieces.select("key", "gone").join(more, "key", "left").select(
         "key", F.concat("gone", F.coalesce("more", empty)).alias("gone")
     )
