@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.tables import texts
+from pickwise.llm.tables import small_batches, texts
 from pickwise.llm.words import ALNUM, LOWER, hashes, row_blocks, spans, utf8
 
 WINDOW = 10
@@ -221,7 +221,7 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, block_bytes: int, na
     """``docs`` with word count, hit ranges and item ids under the given column names."""
     spark = docs.sparkSession
     words, hits, ids = names
-    out = docs.withColumns(
+    out = small_batches(docs).withColumns(
         {words: F.lit(0), hits: F.lit(None).cast(HITS), ids: F.lit(None).cast("array<string>")}
     )
     for block in item_blocks(items, block_bytes):

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.html_blocks import blocks
+from pickwise.llm.tables import small_batches
 from pickwise.llm.words import row_blocks
 
 #: What joins the kept blocks.
@@ -135,7 +136,7 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     schema = ", ".join(f"{c} {kind}" for c, kind in kinds.items()) + ", text string"
-    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
+    return small_batches(pages).select("page_id", "url", "html").mapInArrow(run, schema)
 
 
 def measured(extracted: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pickwise.llm.secret_model import Network, trained
-from pickwise.llm.tables import span_columns, texts
+from pickwise.llm.tables import small_batches, span_columns, texts
 from pickwise.llm.words import row_blocks
 
 BASE_KINDS = ["assign", "access", "hex"]
@@ -157,7 +157,7 @@ def redact(docs: DataFrame) -> DataFrame:
                 [pa.array(new, column.type) if c == "text" else batch.column(c) for c in names], names
             )
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def digests(found: DataFrame) -> DataFrame:

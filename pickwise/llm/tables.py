@@ -10,9 +10,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of texts that go to a Python worker at a time, unless the session says otherwise. Texts are
+#: far longer than the rows that Spark's default of 10,000 is made for.
+TEXT_BATCH_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand texts to Python in small batches."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_ROWS) == "10000":
+        conf.set(_BATCH_ROWS, str(TEXT_BATCH_ROWS))
+    return df
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """Only ``doc_id`` and ``text``, so that no other column of ``docs`` can get in the way."""
-    return docs.select("doc_id", "text")
+    return small_batches(docs).select("doc_id", "text")
 
 
 def span_columns(kinds: list[str], found: str = "found", base: str = "base") -> list:
