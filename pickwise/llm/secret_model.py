@@ -1,27 +1,36 @@
 """A small character convolutional network in numpy, and the labelled findings it is trained on.
 
-A finding is a span and its surroundings. The network sees ``BEFORE`` characters in front of it,
-its first ``INSIDE`` characters and ``AFTER`` characters behind it, as character codes with two
-flags (upper case, inside the span). One convolution, maximum and mean over positions, one hidden
+A finding is a span and its surroundings. The network slides over the whole span in windows of
+``INSIDE`` characters, ``STRIDE`` apart, and the finding's logit is the largest of them. In a window
+it sees these characters, ``BEFORE`` in front of them and ``AFTER`` behind them, as character codes
+with two flags (upper case, inside the window). One convolution, maximum and mean over positions, one hidden
 layer, one logit. The logit is calibrated by Platt scaling on findings set aside, and the threshold
 is the largest one, but at most one half, that still finds ``RECALL`` of the secrets among further
 findings set aside.
 
 The labelled findings are a table made from a rule and a seed: tokens of common credential formats
-against identifiers, paths, digests of files, dates and words that look alike. Training takes a
-few seconds on the driver, has a fixed size, and gives the same weights on every run.
+against identifiers, paths, digests of files, dates and words that look alike. Some secrets stand
+late in a long run, behind a path, an address or a key. Training takes several seconds on the driver, has a fixed size, and gives the same weights on every run.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import random
+from collections.abc import Iterable
 
 import numpy as np
 
 BEFORE, INSIDE, AFTER = 24, 48, 8
 WIDTH = BEFORE + INSIDE + AFTER
+#: Characters from one window of a long span to the next.
+STRIDE = 16
+#: Windows that are encoded at a time.
+_WINDOWS = 4096
+#: Characters of a secret that make a window one of a secret.
+_SHOWN = 16
 FILTERS, KERNEL, HIDDEN = 24, 5, 16
 #: Labelled findings for training, calibration and threshold together.
 FINDINGS = 6000
@@ -63,6 +72,13 @@ def encode(findings: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray
     return np.where(real, _CODES[data], 0), _UPPER[data] & real, inside
 
 
+def windows(start: int, end: int) -> Iterable[tuple[int, int]]:
+    """Windows of at most ``INSIDE`` characters that together cover the span."""
+    last = max(start, end - INSIDE)
+    for at in itertools.chain(range(start, last, STRIDE), (last,)):
+        yield at, min(end, at + INSIDE)
+
+
 class Network:
     def __init__(self, seed: int = SEED):
         rng = np.random.default_rng(seed)
@@ -104,9 +120,22 @@ class Network:
         ]
         return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
+    def largest_logits(self, findings: list[tuple[str, int, int]]) -> np.ndarray:
+        """The largest logit over the windows of each finding."""
+        best = np.full(len(findings), -np.inf, np.float32)
+        parts = (
+            (row, (text, *window))
+            for row, (text, start, end) in enumerate(findings)
+            for window in windows(start, end)
+        )
+        while some := list(itertools.islice(parts, _WINDOWS)):
+            rows, seen = zip(*some)
+            np.maximum.at(best, list(rows), self.logits(encode(list(seen))))
+        return best
+
     def probabilities(self, findings: list[tuple[str, int, int]]) -> np.ndarray:
         """Calibrated probabilities that the findings are secrets."""
-        logits = self.logits(encode(findings)).astype(np.float64)
+        logits = self.largest_logits(findings).astype(np.float64)
         return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -40, 40)))
 
     def _gradients(self, encoded, labels):
@@ -221,14 +250,49 @@ def _look_alike(rng: random.Random) -> tuple[str, bool]:
     return "".join(rng.choice("0123456789abcdef") for _ in range(40)), True
 
 
-def labelled_findings(count: int = FINDINGS, seed: int = SEED):
-    """Findings (text, start, end) and labels, 1 for secrets, half of each."""
+def _joined(rng: random.Random) -> str:
+    """A long path, address or key that a token may be joined to."""
+    size, out = rng.randint(20, 160), rng.choice(["//", "/", "", ""])
+    joint = rng.choice(["/", "/", ".", "_"])
+    while len(out) < size:
+        piece = rng.randrange(6)
+        digits = "".join(rng.choice("0123456789") for _ in range(rng.randint(1, 8)))
+        if piece == 0:
+            out += rng.choice(["v", "T", "B", "p", "20", ""]) + digits
+        elif piece == 1:
+            out += _word(rng, 1, 2) + rng.choice("._-") + _word(rng, 1, 2)
+        elif piece == 2:
+            out += "".join(_word(rng, 1, 2).capitalize() for _ in range(rng.randint(1, 3)))
+        else:
+            out += rng.choice([str.lower, str.lower, str.upper])(_word(rng, 1, 4))
+        out += joint
+    return out
+
+
+def _late_secret(rng: random.Random) -> tuple[str, int, int]:
+    """A long run, and where in it the secret stands."""
+    front = _joined(rng) + rng.choice(["", "", "key=", "value=", "id="])
+    secret = _secret(rng)
+    if rng.random() < 0.5:
+        secret = "".join(rng.choice(_BASE64) for _ in range(rng.randint(20, 40)))
+    behind = "/" + _joined(rng)[: rng.randint(4, 60)].rstrip("./_-") if rng.random() < 0.2 else ""
+    return front + secret + behind, len(front), len(front) + len(secret)
+
+
+def _placed_findings(count: int, seed: int):
+    """Findings, labels, and where the secret stands in the text (nowhere: 0, 0)."""
     rng = random.Random(seed)
-    findings, labels = [], []
+    findings, labels, places = [], [], []
     for n in range(count):
-        label = n % 2
-        if label:
+        label, place = n % 2, None
+        if label and rng.random() < 0.25:
+            span, *place = _late_secret(rng)
+            context = rng.choice(_KEY_CONTEXTS + _PLAIN_CONTEXTS)
+        elif label:
             span, context = _secret(rng), rng.choice(_KEY_CONTEXTS)
+            place = [0, len(span)]
+        elif rng.random() < 0.25:
+            span, context = _joined(rng).rstrip("./_-"), rng.choice(_KEY_CONTEXTS + _PLAIN_CONTEXTS)
         else:
             span, needs = _look_alike(rng)
             context = rng.choice(["commit ", "sha256:", "checksum ", "etag: "] if needs else _PLAIN_CONTEXTS)
@@ -238,19 +302,40 @@ def labelled_findings(count: int = FINDINGS, seed: int = SEED):
         start = len(left) + 1 + len(context)
         findings.append((text, start, start + len(span)))
         labels.append(label)
-    return findings, np.array(labels, np.float32)
+        places.append((start + place[0], start + place[1]) if place else (0, 0))
+    return findings, np.array(labels, np.float32), places
+
+
+def labelled_findings(count: int = FINDINGS, seed: int = SEED):
+    """Findings (text, start, end) and labels, 1 for secrets, half of each."""
+    return _placed_findings(count, seed)[:2]
+
+
+def _labelled_windows(findings, places):
+    """The windows of the findings, and 1 for those that show a secret.
+
+    Windows that show only a little of a secret are left out.
+    """
+    out, labels = [], []
+    for (text, start, end), (begin, stop) in zip(findings, places):
+        for a, b in windows(start, end):
+            shown = min(b, stop) - max(a, begin)
+            if shown <= 0 or shown >= min(_SHOWN, stop - begin):
+                out.append((text, a, b))
+                labels.append(shown > 0)
+    return out, np.array(labels, np.float32)
 
 
 @functools.lru_cache(1)
 def trained() -> Network:
     """The network trained on two thirds, calibrated and cut on the rest of the findings."""
-    findings, labels = labelled_findings()
-    encoded = encode(findings)
+    findings, labels, places = _placed_findings(FINDINGS, SEED)
     fold = np.random.default_rng(SEED).permutation(len(labels))
     learn, tune, cut = np.split(fold, [len(fold) * 4 // 6, len(fold) * 5 // 6])
+    seen, shown = _labelled_windows([findings[i] for i in learn], [places[i] for i in learn])
     network = Network()
-    network.train([x[learn] for x in encoded], labels[learn])
-    network.calibrate(network.logits([x[tune] for x in encoded]), labels[tune])
+    network.train(encode(seen), shown)
+    network.calibrate(network.largest_logits([findings[i] for i in tune]), labels[tune])
     kept = np.sort(network.probabilities([findings[i] for i in cut if labels[i]]))
     network.threshold = float(min(kept[int(len(kept) * (1 - RECALL))], 0.5))
     return network

@@ -57,6 +57,30 @@ def test_held_out_accuracy():
     assert found[labels == 0].mean() <= 0.03
 
 
+def test_secret_late_in_a_long_run():
+    network = secret_model.trained()
+    url = "https://hooks.slack.com/services/T00000001/B00000001/aB3dE5fG7hI9jK1lM3nO5pQ7"
+    key = "deployment.environments.production.services.billing.gateway.client=q7Rt2Wz9Lk4Xv8Bn3Mc6Hy1P"
+    path = "https://host.example/static/assets/2024/images/pictures/of/the/house/and/garden/page_12.html"
+    given = [f"post to {url} now", f"{key}\n", f"see {path} for it"]
+    spans = [[(x["start"], x["end"]) for x in found] for found in secret_scan.scan(given, network)]
+    assert spans == [[(14, 8 + len(url))], [(0, len(key))], []]
+    # The secret decides, wherever it stands: a run is scored up to its end.
+    rng = random.Random(3)
+    for _ in range(50):
+        front = "/".join(secret_model._word(rng, 2, 4) for _ in range(rng.randint(8, 40)))
+        secret = "".join(rng.choice(secret_model._BASE64) for _ in range(32)) + "7a"
+        assert secret_scan.scan([f"{front}/{secret}"], network) != [[]], (front, secret)
+
+
+def test_windows_cover_the_span():
+    for size in range(1, 200):
+        parts = list(secret_model.windows(7, 7 + size))
+        assert parts[0][0] == 7 and parts[-1][1] == 7 + size
+        assert all(b - a == min(size, secret_model.INSIDE) for a, b in parts)
+        assert all(0 < c - a <= secret_model.STRIDE for (a, _), (c, _) in zip(parts, parts[1:]))
+
+
 def test_gradients():
     network = secret_model.Network(1)
     findings, labels = secret_model.labelled_findings(40)
