@@ -1,7 +1,8 @@
 """Secrets in texts: exact base patterns, and every other candidate judged by a small network.
 
 Candidates are the base spans (assignments to secret names, access keys, hex strings) and all
-other runs of at least ``LONG_TOKEN`` token characters with a letter and a digit. The network of
+runs of at least ``LONG_TOKEN`` token characters with a letter and a digit that base spans do not
+cover entirely; base spans may lie inside or overlap them. The network of
 ``secret_model`` scores each with its surroundings; base spans stay whatever their score, others
 become spans of kind ``token`` if their probability reaches the threshold, which was set to keep a
 required share of the secrets in labelled findings.
@@ -81,17 +82,17 @@ def candidates(text: str) -> list[tuple[int, int, str, int]]:
             if any(c.isdigit() for c in token):
                 runs.append((start, end))
     out.sort()
-    # A long run that meets a base span is that finding, not another one.
+    # A long run that base spans cover entirely is that finding, not another one.
     base, n = [], 0
     for start, _, _, end in out:
-        if base and start < base[-1][1]:
+        if base and start <= base[-1][1]:
             base[-1] = (base[-1][0], max(end, base[-1][1]))
         else:
             base.append((start, end))
     for start, end in runs:
         while n < len(base) and base[n][1] <= start:
             n += 1
-        if n == len(base) or base[n][0] >= end:
+        if n == len(base) or base[n][0] > start or base[n][1] < end:
             out.append((start, 3, "token", end))
     out.sort()
     return out
