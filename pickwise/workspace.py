@@ -70,19 +70,27 @@ def _files(table: DataFrame) -> list[str]:
     return [re.sub("^file:/+", "/", name) for name in table.inputFiles()]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as a table and read it back: cuts lineage, survives lost executors."""
+def materialize(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write ``df`` once as a table and read it back: cuts lineage, survives lost executors.
+
+    With columns ``by`` there is a folder for each of their values, and filters on them read no other.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     if _open_scopes:
         _open_scopes[-1].append(re.sub("^file:/+", "/", path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folders(table: DataFrame) -> list[str]:
+    """The folders a table reads."""
+    return sorted({name.rpartition("/")[0] for name in table.inputFiles()})
+
+
 def release(table: DataFrame) -> None:
     """Delete the folder of a table that ``materialize`` gave."""
-    for folder in {name.rpartition("/")[0] for name in table.inputFiles()}:
+    for folder in folders(table):
         delete_folder(table.sparkSession, folder)
 
 
