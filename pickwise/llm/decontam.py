@@ -7,7 +7,7 @@ Words are lower-cased runs of ASCII letters, digits and characters outside ASCII
 64-bit fingerprints. Runs of document words that all occur in items are found with numpy; only
 those long enough to hold a window enter the automaton.
 
-The items are gathered in blocks of at most ``BLOCK_BYTES`` of text, so the automaton a task holds
+Distinct items are gathered in blocks of about ``BLOCK_BYTES`` of text, so the automaton a task holds
 is bounded however large the benchmark is; documents pass the blocks one after the other without a
 shuffle. Null and empty texts have no words and no hits; an item without words is no window; an
 item whose id is null marks words but is not listed. Repeated items count once per id, repeated
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from pickwise.llm.tables import small_batches, texts
 from pickwise.llm.words import ALNUM, LOWER, hashes, row_blocks, spans, utf8
+from pickwise.workspace import materialize
 
 WINDOW = 10
 #: Text of test items that one automaton holds at most (and the largest broadcast).
@@ -159,8 +160,12 @@ def _lower_words(column: pa.Array):
 
 
 def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list]:
-    """The items as (id, word fingerprints) lists, each of about ``block_bytes`` of text at most."""
+    """The distinct items as (id, word fingerprints) lists, each of about ``block_bytes`` of text at most.
+
+    Repeated rows would all fall into one block.
+    """
     plain = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    plain = materialize(plain.distinct(), "items")
     total = plain.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     count = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))

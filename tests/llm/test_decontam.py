@@ -107,6 +107,19 @@ def test_query_by_brute_force(spark, sf_dir):
     )
 
 
+def test_repeated_items_do_not_fill_a_block(spark):
+    """A third of the rows is one item: it goes into one block, once."""
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(12))) for n in range(100)]
+    items += [(200, "one two three four five six seven eight nine ten")] * 50
+    table = items_table(spark, items)
+    blocks = list(decontam.item_blocks(table, 1000))
+    assert sorted(name for block in blocks for name, _ in block) == sorted(str(n) for n, _ in set(items))
+    assert max(len(block) for block in blocks) < 40
+    given = [(1, f"a {items[-1][1]} b"), (2, items[5][1]), (3, "none")]
+    got = decontam.digests(decontam.find_overlaps(docs(spark, given), table, block_bytes=1000))
+    assert sorted(repr(tuple(r)) for r in got.collect()) == expected(given, items)
+
+
 @pytest.mark.parametrize("bound", [decontam.BLOCK_BYTES])
 def test_blocks_are_bounded(bound):
     assert bound <= 16 << 20
