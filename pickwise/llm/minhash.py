@@ -14,8 +14,8 @@
    a group of n texts gives about n links, never all pairs, and no component is lost.
 4. Components of the links.
 
-A pair at the similarity of 0.8 agrees on fewer than 16 of 32 coordinates about once in 100,000
-times. Null and empty texts have no shingles and are linked with nothing; a text of fewer than
+A pair at the similarity of 0.8 agrees on fewer than 13 of 32 coordinates about 1.9 times in
+10,000,000 (binomial); such a pair is not compared. Null and empty texts have no shingles and are linked with nothing; a text of fewer than
 ``SHINGLE`` words is one shingle. Rows that share a doc_id but not the text are documents of their
 own; repeated rows are copies. A group whose ids are all null has a null id. An empty table gives no
 rows; other columns are ignored by ``near_duplicates`` and kept by ``deduplicate``.
@@ -41,7 +41,7 @@ from pickwise.workspace import materialize
 SHINGLE = 4
 #: Two sets are linked if 100 * intersection >= PERCENT * union.
 PERCENT = 80
-COORDINATES, MATCHES = 32, 16
+COORDINATES, MATCHES = 32, 13
 #: Shingles of the members of a posting that one block holds, about 16 MB of fingerprints.
 BLOCK_SHINGLES = 1 << 21
 _SEED = 0x51ED270B

@@ -91,6 +91,15 @@ def test_edge_rows(spark):
     assert ids == sorted(["1", "2", "3", "4", "5", "6", "None", "None"])
 
 
+def test_pairs_that_agree_on_few_coordinates(spark):
+    """Pairs at the similarity of 0.8 whose signatures agree on 15 of 32 coordinates."""
+    given = []
+    for n in (98578, 126252, 163974):
+        words = [f"q{n}x{k}" for k in range(8)]
+        given += [(n, " ".join(words[:7])), (n + 1, " ".join(words))]
+    assert found(minhash.near_duplicates(docs(spark, given))) == brute(given)
+
+
 def test_local_links_connect_what_is_linked():
     rng = random.Random(2)
     base = np.arange(100, dtype=np.uint64)
