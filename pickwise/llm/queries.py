@@ -5,7 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import bpe, chat, decontam, html_text, minhash, pii, quality, secret_scan, sharding, substrings
+from pickwise.llm import (
+    bpe,
+    chat,
+    decontam,
+    html_text,
+    minhash,
+    pii,
+    quality,
+    secret_scan,
+    sharding,
+    substrings,
+    token_counts,
+    whitening,
+)
 from pickwise.llm.oracle import ORACLE_SQL
 from pickwise.llm.tables import table
 
@@ -53,6 +66,15 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts from an empty cache, so that every distinct text is encoded."""
+    return token_counts.limits(token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.results(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_chat": op2_chat,
@@ -64,6 +86,8 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_secrets": op9_secrets,
     "op10_substrings": op10_substrings,
+    "op11_token_counts": op11_token_counts,
+    "op12_whitening": op12_whitening,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
