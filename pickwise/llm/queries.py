@@ -15,6 +15,7 @@ from pickwise.llm import (
     quality,
     secret_scan,
     sharding,
+    spelling,
     substrings,
     token_counts,
     whitening,
@@ -75,6 +76,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.results(whitening.whiten(table(spark, sf_dir, "embeddings")))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_chat": op2_chat,
@@ -88,6 +93,7 @@ QUERIES = {
     "op10_substrings": op10_substrings,
     "op11_token_counts": op11_token_counts,
     "op12_whitening": op12_whitening,
+    "op13_spelling": op13_spelling,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
