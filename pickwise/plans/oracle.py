@@ -134,6 +134,23 @@ _ROW_SPLIT = """
                 <= ceil(0.2 * count(*) OVER ()) THEN 'validation' ELSE 'train' END AS split
     FROM labelled"""
 
+_TRAINED = """
+    WITH labels AS (
+        SELECT user_id, parent_asin, store, CASE WHEN rating >= 4.5 THEN 1 ELSE 0 END AS label FROM encoded),
+    sides AS (
+        SELECT label, row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(user_id AS VARCHAR),
+                   CAST(parent_asin AS VARCHAR), CAST(store AS VARCHAR), CAST(label AS VARCHAR))),
+                   user_id, parent_asin, store, label) <= ceil(0.2 * count(*) OVER ()) AS validation
+        FROM labels),
+    numbers AS (
+        SELECT CAST(sum(CASE WHEN validation THEN 0 ELSE 1 + label END) AS BIGINT) AS n_train,
+               CAST(sum(CASE WHEN validation THEN 1 + label ELSE 0 END) AS BIGINT) AS n_validation
+        FROM sides)
+    SELECT '{model}' AS model, CAST(n AS INTEGER) AS epoch, true AS proper, true AS lowered, n_train, n_validation,
+           (SELECT count(*) FROM user_map) AS n_users, (SELECT count(*) FROM item_map) AS n_items,
+           (SELECT count(*) FROM store_map) AS n_stores
+    FROM numbers, range(10) r(n)"""
+
 _BY_TIME = """
     SELECT timestamp, rating, user_id, parent_asin, row_number() OVER (
                ORDER BY timestamp, rating, user_id, parent_asin) - 1 AS place, count(*) OVER () AS n
@@ -397,12 +414,8 @@ _ORACLE = {
          FROM encoded e JOIN vectors u ON u.feature = 'user_id_map' AND u.idx = e.user_id
              JOIN vectors i ON i.feature = 'parent_id_map' AND i.idx = e.parent_asin
              JOIN vectors s ON s.feature = 'store_id_map' AND s.idx = e.store)"""),
-    "train_deepfm": """
-        SELECT 'DeepFM' AS model, CAST(n AS INTEGER) AS epoch, true AS proper, true AS lowered
-        FROM range(10) r(n)""",
-    "train_fm": """
-        SELECT 'FM' AS model, CAST(n AS INTEGER) AS epoch, true AS proper, true AS lowered
-        FROM range(10) r(n)""",
+    "train_deepfm": _TRAINED.format(model="DeepFM"),
+    "train_fm": _TRAINED.format(model="FM"),
     "retrain": _REGISTERED,
     "stream_retrain": _REGISTERED,
     "sink_sampled_users": """

@@ -706,16 +706,19 @@ def deepfm_score(spark, sf_dir):
 
 
 def _progress(spark, model: TrainedModel) -> DataFrame:
-    """Per epoch whether the metrics are proper numbers, and whether training lowered the loss."""
+    """Per epoch whether the metrics are proper numbers and training lowered the loss, and what was trained."""
     lowered = model.history[-1]["train_loss"] < model.history[0]["train_loss"]
+    sizes = {r["feature"]: r["count"] for r in model.embeddings.groupBy("feature").count().collect()}
+    counts = [model.rows["train"], model.rows["validation"], *map(sizes.get, (USER_MAP, ITEM_MAP, STORE_MAP))]
     rows = []
     for entry in model.history:
         losses, areas = ([entry[f"{s}_{m}"] for s in ("train", "test")] for m in ("loss", "roc_auc"))
         proper = all(x is not None and 0 <= x < math.inf for x in losses) and all(
             x is not None and 0 <= x <= 1 for x in areas
         )
-        rows.append((model.name, entry["epoch"], proper, lowered))
-    return spark.createDataFrame(rows, "model string, epoch int, proper boolean, lowered boolean")
+        rows.append((model.name, entry["epoch"], proper, lowered, *counts))
+    layout = "model string, epoch int, proper boolean, lowered boolean, n_train long, n_validation long"
+    return spark.createDataFrame(rows, layout + ", n_users long, n_items long, n_stores long")
 
 
 @query
