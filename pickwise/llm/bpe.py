@@ -17,6 +17,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,15 +32,17 @@ from pickwise.llm.words import row_blocks
 
 # The pattern that cuts text into pieces before byte-level merges.
 PIECES = (
-    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^\s{L}{N}]+|\s+(?!\S)|\s+"""
 )
 
-_NEVER = (1 << 60, -1)
+_NEVER = 1 << 60
+#: Code points asked about at a time.
+_ASKED = 256
 
 #: Entries of each half of the tables of known pieces and fragments.
 KNOWN_PIECES = 1 << 18
-#: Fragments up to this many bytes are merged by looking at all pairs again after each merge.
-SHORT = 32
+#: Fragments up to this many bytes are merged side by side, so many at a time.
+SHORT, TOGETHER = 32, 1 << 14
 #: Pieces longer than this many bytes are not kept.
 KEPT_BYTES = 64
 
@@ -51,10 +54,76 @@ def _byte_names() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+Ranges = tuple[tuple[int, int], ...]
+
+
+@functools.lru_cache(1)
+def classes() -> tuple[Ranges, Ranges]:
+    """Letters and numbers as ranges, in the Unicode version of the tokenizers library.
+
+    Packages differ in that version, and by it in thousands of code points. The library is asked: a code
+    point is a letter if it stays in one piece with a letter, and a number if it does with a number.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cut = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    inside: dict[str, list[int]] = {"a": [], "1": []}
+    for begin in range(0, 0x110000, _ASKED):
+        codes = range(begin, begin + _ASKED)
+        if 0xD800 <= begin < 0xE000:
+            continue
+        together = "".join(map(chr, codes))
+        if len(cut("a" + together)) == 1:
+            inside["a"] += codes
+        elif len(cut("." + together)) > 1:  # else they are neither
+            for known, found in inside.items():
+                pieces = {span for _, span in cut("".join(f"\n{known}{chr(c)}" for c in codes))}
+                # A piece of both characters behind a line feed; line feeds are white space.
+                found += [begin + k for k in range(_ASKED) if (3 * k + 1, 3 * k + 3) in pieces]
+    return _ranges(inside["a"]), _ranges(inside["1"])
+
+
+def _ranges(codes: list[int]) -> Ranges:
+    found: list[list[int]] = []
+    for code in codes:
+        if found and found[-1][1] == code - 1:
+            found[-1][1] = code
+        else:
+            found.append([code, code])
+    return tuple((a, b) for a, b in found)
+
+
+def _set(ranges: Ranges) -> str:
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+class Pieces:
+    """The cut of a text into pieces with given classes of letters and numbers.
+
+    The installed package's own classes are faster, and right where no character of a text is one that
+    they put elsewhere.
+    """
+
+    def __init__(self, letters: Ranges, numbers: Ranges):
+        self.exact = re.compile(PIECES.replace("{L}", _set(letters)).replace("{N}", _set(numbers)))
+        self.fast = regex.compile(PIECES.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}"))
+        everything = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+        differ: set[str] = set()
+        for ranges, pattern in ((letters, r"\p{L}"), (numbers, r"\p{N}")):
+            mine = set(map(chr, chain.from_iterable(range(a, b + 1) for a, b in ranges)))
+            differ ^= mine ^ set(regex.findall(pattern, everything))
+        self.differ = frozenset(differ)
+
+    def findall(self, text: str) -> list[str]:
+        if text.isascii() or self.differ.isdisjoint(text):
+            return self.fast.findall(text)
+        return self.exact.findall(text)
+
+
 class Vocabulary:
     """Tokens, merges and forced cuts of one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, letters: Ranges, numbers: Ranges):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model, names = content["model"], _byte_names()
@@ -80,7 +149,14 @@ class Vocabulary:
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self.merges[ids[left], ids[right]] = (rank, ids[left + right])
-        self.pieces = regex.compile(PIECES)
+        # The same as arrays: pairs in order with their ranks, and the id that a rank makes.
+        pairs = np.array([(left << 32) + right for left, right in self.merges], np.int64)
+        ranks = np.array([rank for rank, _ in self.merges.values()], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], ranks[order]
+        self.made = np.zeros(len(model["merges"]) + 1, np.int64)
+        self.made[ranks] = [i for _, i in self.merges.values()]
+        self.pieces = Pieces(letters, numbers)
         self.marks = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")"
         ) if self.added else None
@@ -89,7 +165,7 @@ class Vocabulary:
 
     def cut(self, data: bytes) -> list[bytes]:
         """The fragments between certain cuts."""
-        if len(data) <= SHORT:
+        if len(data) <= KEPT_BYTES:
             together = self.pairs_together
             at = [n for n, pair in enumerate(zip(data, data[1:]), 1) if pair not in together]
         else:
@@ -104,14 +180,6 @@ class Vocabulary:
         """Ids of a fragment: the merge of lowest rank first, the leftmost of equals."""
         ids = [self.byte_ids[b] for b in fragment]
         merges = self.merges
-        if len(ids) <= SHORT:
-            while len(ids) > 1:
-                found = [(merges.get(pair, _NEVER), n) for n, pair in enumerate(zip(ids, ids[1:]))]
-                (rank, joined), at = min(found)
-                if rank == _NEVER[0]:
-                    break
-                ids[at : at + 2] = [joined]
-            return tuple(ids)
         after = [*range(1, len(ids)), -1]
         before = [-1, *range(len(ids) - 1)]
         queue = []
@@ -135,22 +203,86 @@ class Vocabulary:
                     heapq.heappush(queue, (found[0], before[at], new, found[1]))
         return tuple(i for i in ids if i >= 0)
 
-    def encode(self, text: str) -> list[int]:
-        parts = self.marks.split(text) if self.marks else [text]
-        out: list[int] = []
-        for n, part in enumerate(parts):
-            if n % 2:
-                out.append(self.added[part])
-            else:
-                pieces = self.pieces.findall(part)
-                out.extend(chain.from_iterable(map(self.known.__getitem__, pieces)))
+    def merge_all(self, fragments: list[bytes]) -> list[tuple[int, ...]]:
+        """``merge`` of many short fragments, one merge of each of them at a time.
+
+        A row per fragment has its ids, another the ranks of its pairs; a merge closes the gap in both.
+        """
+        lengths = np.array([len(f) for f in fragments])
+        width, n = int(lengths.max()), len(fragments)
+        data = np.frombuffer(b"".join(f.ljust(width, b"\0") for f in fragments), np.uint8).reshape(n, width)
+        places = np.arange(width)
+        ids = np.where(places < lengths[:, None], np.array(self.byte_ids, np.int64)[data], -1)
+        ranks = np.full((n, width), _NEVER)
+        ranks[:, :-1] = self._pair_ranks(ids[:, :-1], ids[:, 1:])
+        result, live = np.empty_like(ids), np.arange(n)
+        while len(live):
+            at = ranks.argmin(axis=1)
+            rows = np.arange(len(live))
+            rank = ranks[rows, at]
+            more = rank < _NEVER
+            result[live[~more]] = ids[~more]
+            live, ids, ranks, at, rank = live[more], ids[more], ranks[more], at[more], rank[more]
+            if not len(live):
+                break
+            rows, gap = rows[: len(live)], places >= at[:, None]
+            # Ids behind the pair and ranks from the pair on move up by one place.
+            ids = np.where(gap, np.concatenate([ids[:, 1:], np.full((len(live), 1), -1)], axis=1), ids)
+            ranks = np.where(gap, np.concatenate([ranks[:, 1:], np.full((len(live), 1), _NEVER)], axis=1), ranks)
+            ids[rows, at] = self.made[rank]
+            after = np.minimum(at + 1, width - 1)
+            ranks[rows, at] = self._pair_ranks(ids[rows, at], np.where(after > at, ids[rows, after], -1))
+            left = np.flatnonzero(at > 0)
+            before = at[left] - 1
+            ranks[left, before] = self._pair_ranks(ids[left, before], ids[left, at[left]])
+        counts = (result >= 0).sum(axis=1).tolist()
+        return [tuple(row[:count]) for row, count in zip(result.tolist(), counts)]
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, -1 standing for none."""
+        pair = (left << 32) + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        found = (self.pairs[at] == pair) & (left >= 0) & (right >= 0)
+        return np.where(found, self.pair_ranks[at], _NEVER)
+
+    def learn(self, pieces: set[str]) -> None:
+        """Merge what is new in these pieces together, so that ``encode`` finds it."""
+        kept = [piece for piece in pieces.difference(self.known) if len(piece) <= KEPT_BYTES]
+        cuts = [self.cut(piece.encode()) for piece in kept if piece not in self.known.older]
+        new = {f for some in cuts for f in some if len(f) <= SHORT and f not in self.fragments}
+        # Of like lengths together.
+        new = sorted((f for f in new if f not in self.fragments.older), key=len)
+        for begin in range(0, len(new), TOGETHER):
+            some = new[begin : begin + TOGETHER]
+            for fragment, ids in zip(some, self.merge_all(some)):
+                self.fragments.put(fragment, ids)
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of every text."""
+        cut = [self.marks.split(text) if self.marks else [text] for text in texts]
+        cut = [[x if n % 2 else self.pieces.findall(x) for n, x in enumerate(parts)] for parts in cut]
+        self.learn({piece for parts in cut for some in parts[::2] for piece in some})
+        out = []
+        for parts in cut:
+            ids: list[int] = []
+            for n, part in enumerate(parts):
+                if n % 2:
+                    ids.append(self.added[part])
+                else:
+                    ids.extend(chain.from_iterable(map(self.known.__getitem__, part)))
+            out.append(ids)
         return out
 
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
+
     def forget(self) -> None:
-        """Empty the tables, for a worker that may next wait for long."""
-        for known in (self.known, self.fragments):
-            known.clear()
-            known.older = {}
+        """Empty the table of pieces, for a worker that may next wait for long.
+
+        Fragments take most of the time and less memory, and the next task of the worker needs them.
+        """
+        self.known.clear()
+        self.known.older = {}
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -171,16 +303,19 @@ class _Known(dict):
         if value is None:
             value = self.make(key)
         if len(key) <= KEPT_BYTES:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[key] = value
+            self.put(key, value)
         return value
 
+    def put(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
 
 @functools.lru_cache(2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+def vocabulary(path: str, kinds: tuple[Ranges, Ranges] | None = None) -> Vocabulary:
+    return Vocabulary(path, *(kinds or classes()))
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
@@ -189,14 +324,13 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     ``path`` is the vocabulary file, readable on every executor. Strings of added tokens inside a
     text become those tokens, as in the usual encoders.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, kinds = docs.schema["doc_id"].dataType.simpleString(), classes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
+        words = vocabulary(path, kinds)
         for batch in row_blocks(batches, "text"):
             ids, ends, decoded = [], [0], []
-            for text in batch.column("text").to_pylist():
-                found = words.encode(text or "")
+            for found in words.encode_all([text or "" for text in batch.column("text").to_pylist()]):
                 ids.append(np.array(found, np.int32))
                 ends.append(ends[-1] + len(found))
                 decoded.append(words.decode(found))

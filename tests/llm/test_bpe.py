@@ -56,3 +56,27 @@ def test_query_as_the_library(spark, sf_dir, library):
     given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = op8_bpe(spark, sf_dir).collect()
     assert sorted(map(tuple, got)) == sorted(expected(library, *row) for row in given)
+
+
+def test_every_code_point_as_the_library(library):
+    """Next to letters, numbers, marks and an apostrophe; classes differ between Unicode versions."""
+    words = bpe.vocabulary(BYTE_BPE)
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [
+        "".join(f"a{chr(c)}1{chr(c)}.{chr(c)} '{chr(c)}'re" for c in codes[k : k + 4096])
+        for k in range(0, len(codes), 4096)
+    ]
+    for text, ids in zip(texts, words.encode_all(texts)):
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["'꟎'re", "࢏b౜", "x\U000323b0're 1\U00011de0"])
+def test_code_points_of_newer_versions(library, text):
+    assert bpe.vocabulary(BYTE_BPE).encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_fragments_merged_together_or_alone(library):
+    words = bpe.vocabulary(BYTE_BPE)
+    rng = random.Random(8)
+    fragments = ["".join(rng.choice("aeinst zx1") for _ in range(rng.randint(1, 32))).encode() for _ in range(3000)]
+    assert words.merge_all(fragments) == [words.merge(f) for f in fragments]
