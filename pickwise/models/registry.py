@@ -17,6 +17,7 @@ from pickwise.models.training import TrainedModel
 from pickwise.operators.ordering import latest_row
 from pickwise.schemas import HISTORY, MODEL_VERSIONS
 from pickwise.sources.tables import append_collection, read_collection
+from pickwise.workspace import claim_number
 
 
 def next_version(versions: DataFrame) -> DataFrame:
@@ -56,15 +57,14 @@ class ModelRegistry:
     ) -> int:
         """Store vectors first, then the version row, so a listed version is always complete.
 
-        Vectors have a folder of their own whatever the version. A version number that is listed
-        already (the newest entry by time need not be the last) is refused. ``source`` says what
-        the model was made from; ``registered`` finds it again.
+        Vectors have a folder of their own whatever the version. The number follows the largest one
+        listed, whatever the times say, and is claimed before it is used, so that two writers get
+        two numbers; a writer that stops in between leaves a gap. ``source`` says what the model
+        was made from; ``registered`` finds it again.
         """
         moment = moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        versions = self.versions()
-        version = next_version(versions).head()["next_version"]
-        if not versions.filter(F.col("version") == version).isEmpty():
-            raise ValueError(f"version {version} is registered already")
+        largest = self.versions().agg(F.max("version")).head()[0]
+        version = claim_number(self.spark, f"{self.path}/claims", 0 if largest is None else largest + 1)
         vectors = f"{self.path}/embeddings/{uuid.uuid4().hex}"
         model.embeddings.write.partitionBy("feature").parquet(vectors)
         row = (model.name, _utc(moment), model.network.to_bytes(), version, maps_version, vectors, source)

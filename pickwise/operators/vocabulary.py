@@ -28,6 +28,30 @@ def build_vocabularies(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
+def extend_vocabularies(known: DataFrame, df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``known`` with the new values of ``df`` appended: ids stay, new values get the next ids.
+
+    The ids of a feature stay gapless if they were; new values take theirs in md5 order. Extending once
+    more by the same rows changes nothing. ``known`` is read as rows of (feature, value, idx) and only the
+    next id of each feature, a row per feature, is broadcast.
+    """
+    entries = F.array(
+        *[
+            F.struct(F.lit(feature).alias("feature"), F.col(column).cast("string").alias("value"))
+            for feature, column in columns.items()
+        ]
+    )
+    values = df.select(F.inline(entries)).distinct()
+    held = known.select(F.col("feature").alias("__feature"), F.col("value").alias("__value"))
+    same = (F.col("feature") == F.col("__feature")) & F.col("value").eqNullSafe(F.col("__value"))
+    fresh = hash_positions(values.join(held, same, "left_anti"), "ids", "idx", unique=True, group="feature")
+    following = known.groupBy("feature").agg((F.max("idx") + 1).alias("__next"))
+    appended = fresh.join(F.broadcast(following), "feature", "left").select(
+        "feature", "value", (F.col("idx") + F.coalesce("__next", F.lit(0))).cast("int").alias("idx")
+    )
+    return known.select("feature", "value", "idx").unionByName(appended)
+
+
 def build_vocabulary(df: DataFrame, column: str, feature: str) -> DataFrame:
     return build_vocabularies(df, {feature: column})
 

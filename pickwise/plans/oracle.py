@@ -303,6 +303,17 @@ _ORACLE = {
         WHERE place <= 5""",
     # aggregates
     "distinct_values": "SELECT DISTINCT parent_asin FROM joined",
+    "feature_maps_extended": """
+        WITH given AS (
+            SELECT 'user_id_map' AS feature, user_id AS value, rating FROM joined
+            UNION ALL SELECT 'parent_id_map', parent_asin, rating FROM joined),
+        each AS (
+            SELECT feature, value, CASE WHEN max(rating) = 5 THEN 0 ELSE 1 END AS later
+            FROM given GROUP BY feature, value)
+        SELECT feature, value, CAST(row_number() OVER (
+                   PARTITION BY feature ORDER BY later, md5(concat_ws('|', 'ids', feature, value)), value) - 1
+               AS INTEGER) AS idx
+        FROM each""",
     "feature_map_user": "SELECT * FROM user_map",
     "feature_map_item": "SELECT * FROM item_map",
     "feature_map_store": "SELECT * FROM store_map",

@@ -423,6 +423,15 @@ def feature_map_user(spark, sf_dir):
     return testdata.vocabularies(spark, sf_dir, USER_MAP)
 
 
+@query
+def feature_maps_extended(spark, sf_dir):
+    """Vocabularies of the best ratings, then appended to for all the others."""
+    columns = {USER_MAP: "user_id", ITEM_MAP: "parent_asin"}
+    joined = materialize(testdata.joined(spark, sf_dir), "joined")
+    best = materialize(vocabulary.build_vocabularies(joined.filter("rating = 5"), columns), "maps")
+    return vocabulary.extend_vocabularies(best, joined, columns)
+
+
 @query
 def feature_map_item(spark, sf_dir):
     return testdata.vocabularies(spark, sf_dir, ITEM_MAP)

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
@@ -36,6 +37,24 @@ def delete_folder(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def claim_number(spark: SparkSession, folder: str, first: int) -> int:
+    """The first number from ``first`` on that nobody has claimed in ``folder``, claimed.
+
+    A claim is an empty file that is created only if it is not there, which shared file systems do as one
+    step; whoever comes second takes the next number.
+    """
+    context, number = spark.sparkContext, first
+    while True:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number}")
+        try:
+            path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, False).close()
+            return number
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+        number += 1
+
+
 _open_scopes: list[list[str]] = []
 
 

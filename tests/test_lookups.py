@@ -145,3 +145,19 @@ def test_promised_orders(spark):
     assert counts == sorted(counts, key=lambda c: (-c[1], c[0])) and None not in dict(counts)
     top = [(r.value, r.n) for r in relational.explode_value_counts(df, "features", 3).collect()]
     assert top == [("x", 201), ("v0", 40), ("v1", 40)]
+
+
+def test_extended_vocabulary_keeps_its_ids(spark):
+    columns = {USER_MAP: "u", ITEM_MAP: "i"}
+    first = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "y")], "u string, i string")
+    second = spark.createDataFrame([("c", "x"), ("b", "z"), ("d", None), (None, "x")], "u string, i string")
+    known = vocabulary.build_vocabularies(first, columns)
+    more = vocabulary.extend_vocabularies(known, second, columns)
+    again = vocabulary.extend_vocabularies(more, second, columns)
+    assert rows(again) == rows(more) and set(rows(known)) < set(rows(more))
+    for feature, size in ((USER_MAP, 5), (ITEM_MAP, 4)):
+        assert sorted(r.idx for r in more.filter(F.col("feature") == feature).collect()) == list(range(size))
+    new = vocabulary.extend_vocabularies(known.filter(F.col("feature") == USER_MAP), second, columns)
+    assert sorted(r.idx for r in new.filter(F.col("feature") == ITEM_MAP).collect()) == [0, 1, 2]
+    none = spark.createDataFrame([], "u string, i string")
+    assert rows(vocabulary.extend_vocabularies(known, none, columns)) == rows(known)
