@@ -17,7 +17,6 @@ from __future__ import annotations
 import functools
 import heapq
 import json
-import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -105,7 +104,7 @@ class Pieces:
     """
 
     def __init__(self, letters: Ranges, numbers: Ranges):
-        self.exact = re.compile(PIECES.replace("{L}", _set(letters)).replace("{N}", _set(numbers)))
+        self.exact = regex.compile(PIECES.replace("{L}", _set(letters)).replace("{N}", _set(numbers)))
         self.fast = regex.compile(PIECES.replace("{L}", r"\p{L}").replace("{N}", r"\p{N}"))
         everything = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
         differ: set[str] = set()
