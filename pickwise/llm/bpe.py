@@ -245,16 +245,34 @@ class Vocabulary:
         return np.where(found, self.pair_ranks[at], _NEVER)
 
     def learn(self, pieces: set[str]) -> None:
-        """Merge what is new in these pieces together, so that ``encode`` finds it."""
-        kept = [piece for piece in pieces.difference(self.known) if len(piece) <= KEPT_BYTES]
-        cuts = [self.cut(piece.encode()) for piece in kept if piece not in self.known.older]
-        new = {f for some in cuts for f in some if len(f) <= SHORT and f not in self.fragments}
+        """Cut and merge what is new in these pieces together, so that ``encode`` finds it."""
+        older = self.known.older
+        new = [p for p in pieces.difference(self.known) if len(p) <= KEPT_BYTES and p not in older]
+        if not new:
+            return
+        raw = [piece.encode() for piece in new]
+        data = b"".join(raw)
+        codes = np.frombuffer(data, np.uint8)
+        ends = np.cumsum([len(x) for x in raw])
+        begins = np.ones(len(data) + 1, bool)
+        begins[1:-1] = ~self.together[codes[:-1], codes[1:]]
+        begins[ends] = True
+        at = np.flatnonzero(begins)
+        fragments = [data[x:y] for x, y in zip(at.tolist(), at[1:].tolist())]
+        fresh = {f for f in fragments if f not in self.fragments and len(f) <= SHORT}
         # Of like lengths together.
-        new = sorted((f for f in new if f not in self.fragments.older), key=len)
-        for begin in range(0, len(new), TOGETHER):
-            some = new[begin : begin + TOGETHER]
+        fresh = sorted((f for f in fresh if f not in self.fragments.older), key=len)
+        for begin in range(0, len(fresh), TOGETHER):
+            some = fresh[begin : begin + TOGETHER]
             for fragment, ids in zip(some, self.merge_all(some)):
                 self.fragments.put(fragment, ids)
+        merged, first = self.fragments, 0
+        for piece, last in zip(new, np.searchsorted(at, ends).tolist()):
+            if last == first + 1:
+                self.known.put(piece, merged[fragments[first]])
+            else:
+                self.known.put(piece, tuple(chain.from_iterable(map(merged.__getitem__, fragments[first:last]))))
+            first = last
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """The ids of every text."""
