@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.tables import small_batches, texts
+from pickwise.llm.tables import plain_names, small_batches, texts
 from pickwise.llm.words import ALNUM, LOWER, hashes, row_blocks, spans, utf8
 from pickwise.workspace import materialize
 
@@ -278,10 +278,12 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without the hit spans, and without rows whose hits exceed ``max_coverage``.
 
-    Other rows stay as they are. The white space on both sides of a removed span stays.
+    Other rows and columns, whatever their names, stay as they are. The white space on both sides of a
+    removed span stays.
     """
     names = ["__words", "__hits", "__items"]
-    marked = _marked(docs, items, window, block_bytes, names)
+    plain = plain_names(docs, "text")
+    marked = _marked(plain, items, window, block_bytes, names)
     covered = F.expr("aggregate(__hits, 0L, (n, x) -> n + x.end - x.start)")
     marked = marked.filter(covered <= max_coverage * F.col("__words"))
 
@@ -305,7 +307,7 @@ def decontaminate(
                 [cleaned if c == "text" else batch.column(c) for c in columns], columns
             )
 
-    return marked.mapInArrow(run, docs.schema)
+    return marked.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def digests(overlaps: DataFrame) -> DataFrame:

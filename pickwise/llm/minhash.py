@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.components import components
-from pickwise.llm.tables import texts
+from pickwise.llm.tables import plain_names, texts
 from pickwise.llm.words import (
     LOWER, SPACED, blocks, gram_hashes, hashes, mix, row_blocks, spans, utf8,
 )
@@ -329,12 +329,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each group of near-duplicates, the one with the smallest id.
 
-    Of repeated rows one stays. Texts without words are kept.
+    Of repeated rows one stays. Texts without words are kept, and so are all columns, whatever their names.
     """
     kept = near_duplicates(docs).filter("kept").groupBy("doc_id").agg(F.count("*").alias("__rows"))
     kept = kept.withColumnRenamed("doc_id", "__id")
-    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    once = marked.filter("__rows = 1").select(*docs.columns)
+    plain = plain_names(docs, "doc_id", "text")
+    marked = plain.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = marked.filter("__rows = 1").select(*plain.columns)
     # The same id several times: repeated rows, or texts of different groups under one id.
-    several = marked.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several)
+    several = marked.filter("__rows > 1").select(*plain.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(several).toDF(*docs.columns)

@@ -10,7 +10,8 @@ languages have no reference and are judged by the base rules alone.
 
 Null and empty texts have no words and fail the base rule of 20 words. Rows are independent apart
 from the references, so repeated rows get the same verdict; an empty table gives no rows; other
-columns are ignored by ``assess`` and kept by ``keep_good``. Everything runs in the JVM; the only
+columns, whatever their names, are ignored by ``assess`` and kept by ``keep_good``. Very long texts
+are judged whole, in one row of a task. Everything runs in the JVM; the only
 shuffle sums one row of counts per task and language, and the references, one row for each of the
 languages of ``COMMON_WORDS``, are broadcast.
 """
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.llm.tables import plain_names
 from pickwise.workspace import materialize
 
 #: Fewest words of a document that is kept, and of one that is judged by character classes.
@@ -210,11 +212,13 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
     # A row of counts per row, as a generator's output: filters on them are not moved below it,
     # where every use of a count would compute it anew.
-    features = _features(docs, docs.columns)
-    counts = [c for c in features.columns if c not in docs.columns]
-    features = features.select(*docs.columns, F.inline(F.array(F.struct(*counts))))
+    plain = plain_names(docs, "text", "lang")
+    features = _features(plain, plain.columns)
+    counts = [c for c in features.columns if c not in plain.columns]
+    features = features.select(*plain.columns, F.inline(F.array(F.struct(*counts))))
     reference = references(_counted(docs.select("text", "lang"), []))
-    return _judged(features, reference).filter("__kept").select(*docs.columns)
+    kept = _judged(features, reference).filter("__kept").select(*plain.columns)
+    return kept.toDF(*docs.columns)
 
 
 def verdicts(assessed: DataFrame) -> DataFrame:

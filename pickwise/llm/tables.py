@@ -29,6 +29,16 @@ def texts(docs: DataFrame) -> DataFrame:
     return small_batches(docs).select("doc_id", "text")
 
 
+def plain_names(docs: DataFrame, *kept: str) -> DataFrame:
+    """``docs`` with columns named by their places, but for those in ``kept``.
+
+    So an operator's own names cannot clash with those of further columns; ``toDF`` gives the old
+    names back.
+    """
+    lower = {c.lower(): c for c in kept}
+    return docs.toDF(*[lower.get(c.lower(), f"column_{n}") for n, c in enumerate(docs.columns)])
+
+
 def span_columns(kinds: list[str], found: str = "found", base: str = "base") -> list:
     """Digest columns over ``found``, an array of (kind, start, end, base) in result order."""
     line = "concat_ws(':', x.kind, cast(x.start as string), cast(x.end as string))"

@@ -1,5 +1,6 @@
 """Awkward rows that every operator must take."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = T.StructType(
@@ -30,6 +31,12 @@ def docs(spark, rows):
     return spark.createDataFrame(full, SCHEMA)
 
 
+def with_own_names(table):
+    """The table with further columns whose names the stages of the pipeline use inside."""
+    names = ["__words", "__hits", "__items", "__text", "__lang", "__n_words", "__rows", "__id", "__kept", "column_1"]
+    return table.withColumns({name: F.lit(f"own {name}") for name in names})
+
+
 def empty(spark):
     return docs(spark, [])
 
