@@ -1,25 +1,37 @@
 """Flat text blocks of a web page, with the features by which they are told apart.
 
 A small forgiving scanner walks over tags, comments and raw elements once, whatever is unclosed.
-Block elements end a block, inline elements do not. Of the open elements only those are counted that
-matter: containers of page furniture, cues in class, id and role, articles, links and headings.
+Block elements end a block; inline elements, formulas, and what is dropped inside a line do not. Of the
+open elements only those are counted that matter: containers of page furniture, articles, links,
+paragraphs and headings. An element with a cue in its class, id or role is no verdict on what it holds:
+a block gets the size of the innermost such element, its share of the page, and whether it holds the
+place where the main text begins, and the tree weighs these with the other features.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections import Counter
 
 # Element names and cues in class, id and role.
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
-    "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics "
+    "annotation annotation-xml".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea noscript iframe template xmp noembed noframes".split())
-DROPPED = set("head select option button svg math object canvas audio video datalist map".split())
-FURNITURE = set("nav header footer aside form menu dialog".split())
+DROPPED = set(
+    "head select option button svg object canvas audio video datalist map annotation annotation-xml".split()
+)
+#: Elements that may stand in a line of text, which goes on behind them.
+WITHIN_LINES = INLINE | RAW | DROPPED - {"head"}
+FURNITURE = set("nav header footer aside menu dialog".split())
+PARAGRAPHS = set("p blockquote pre".split())
 ARTICLES = set("article main".split())
 CUES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion "
@@ -29,7 +41,9 @@ CUES = set(
     "toolbar pagination pager complementary contentinfo dialog disqus respond reply replies copyright "
     "legal disclaimer skip hidden paywall".split()
 )
-#: Furniture that a header inside an article is not.
+#: Beginnings of class names that tell of a page's layout or topics, as in no-sidebar and tag-social.
+LAYOUT = set("no not has have with without tag category type format status".split())
+#: An element, and a cue, that is no furniture inside an article.
 _ARTICLE_HEADER = "header"
 
 _NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
@@ -42,7 +56,7 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 FEATURES = (
     "words", "link_density", "words_before", "density_before", "words_after", "density_after",
-    "furniture", "cue", "article", "heading",
+    "furniture", "cue_apart", "cue_at_main", "cue_words", "cue_share", "article", "heading", "paragraph", "titled",
 )
 
 
@@ -50,12 +64,17 @@ class _Scanner:
     def __init__(self, text: str):
         self.text = text
         self.blocks: list[tuple] = []
-        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.stack: list[tuple[str, tuple[str, ...], bool]] = []
         self.open: Counter = Counter()
         self.state: Counter = Counter()
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.places: dict[str, int] = {}
+        #: First block and the block after the last one of each element with a cue, of each article.
+        self.ranges: dict[str, list[list[int]]] = {"cue": [], "article": []}
+        self.open_ranges: dict[str, list[int]] = {"cue": [], "article": []}
+        #: Open elements by name that stand inside a dropped one.
+        self.within_dropped: Counter = Counter()
 
     def upcoming(self, mark: str, at: int) -> int:
         """The next place of ``mark`` from ``at`` on, the page's length if there is none.
@@ -89,11 +108,11 @@ class _Scanner:
         if block:
             words = block.count(" ") + 1
             linked = len(html.unescape(" ".join(self.linked)).split()) if self.linked else 0
-            state = self.state
+            state, cues = self.state, self.open_ranges["cue"]
             self.blocks.append(
                 (
-                    block, words, min(1.0, linked / words), state["furniture"] > 0, state["cue"] > 0,
-                    state["article"] > 0, state["heading"] > 0,
+                    block, words, min(1.0, linked / words), state["furniture"] > 0, cues[-1] if cues else -1,
+                    state["article"] > 0, state["heading"] > 0, state["paragraph"] > 0, state["title"] > 0,
                 )
             )
         self.parts, self.linked = [], []
@@ -110,32 +129,61 @@ class _Scanner:
         elif name == "a":
             out.append("link")
         elif _HEADING.match(name):
-            out.append("heading")
+            out += ["heading", "title"] if name == "h1" else ["heading"]
+        elif name in PARAGRAPHS:
+            out.append("paragraph")
+        cued = name == "form"
         if attributes and name not in ("body", "html"):
             for key, a, b, c in _ATTRIBUTE.findall(attributes):
                 value = (a or b or c).lower()
                 if key.lower() == "style":
                     if _INVISIBLE.search(value):
                         out.append("dropped")
-                elif name not in ARTICLES and not CUES.isdisjoint(_TOKEN.findall(value)):
-                    out.append("cue")
+                else:
+                    cued = cued or self.is_cue(value)
             if _HIDDEN.search(attributes):
                 out.append("dropped")
+        if cued:
+            out.append("cue")
         return tuple(out)
 
+    def is_cue(self, value: str) -> bool:
+        """Whether a class, id or role of an element to open has a cue that is not about layout or topics."""
+        for label in value.split():
+            tokens = _TOKEN.findall(label)
+            if tokens and tokens[0] not in LAYOUT:
+                found = CUES.intersection(tokens)
+                if found and not (self.state["article"] and found == {_ARTICLE_HEADER}):
+                    return True
+        return False
+
     def push(self, name: str, marks: tuple[str, ...]) -> None:
-        self.stack.append((name, marks))
+        inside = self.state["dropped"] > 0
+        self.stack.append((name, marks, inside))
         self.open[name] += 1
+        self.within_dropped[name] += inside
         self.state.update(marks)
+        for kind, open_ones in self.open_ranges.items():
+            if kind in marks:
+                open_ones.append(len(self.ranges[kind]))
+                # An article that has a cue, as a reader's comment may, is not the page's article.
+                main = kind == "cue" or "cue" not in marks and not self.state["furniture"]
+                self.ranges[kind].append([len(self.blocks), len(self.blocks) if not main else -1])
 
     def pop_to(self, name: str) -> None:
         """Close the innermost element of this name and all inside it; nothing if none is open."""
         if not self.open[name]:
             return
         while True:
-            last, marks = self.stack.pop()
+            last, marks, inside = self.stack.pop()
             self.open[last] -= 1
+            self.within_dropped[last] -= inside
             self.state.subtract(marks)
+            for kind, open_ones in self.open_ranges.items():
+                if kind in marks:
+                    found = self.ranges[kind][open_ones.pop()]
+                    if found[1] < 0:
+                        found[1] = len(self.blocks)
             if last == name:
                 return
 
@@ -171,14 +219,14 @@ class _Scanner:
                 continue
             name = found[1].lower()
             if follower == "/":
-                if name not in INLINE:
+                if name not in WITHIN_LINES and not self.within_dropped[name]:
                     self.flush()
                 self.pop_to(name)
                 continue
             if name == "br":
                 self.add(" ")
                 continue
-            if name not in INLINE:
+            if name not in WITHIN_LINES and not self.state["dropped"]:
                 self.flush()
                 if self.open["p"]:
                     self.pop_to("p")
@@ -200,17 +248,68 @@ class _Scanner:
         return self.blocks
 
 
+def _main_place(found: list[tuple], ranges: dict[str, list], before: list[int]) -> tuple[int, bool]:
+    """The block at which the main text begins, as far as markup tells, and whether that is a title.
+
+    It is the first h1 in an article; else in the article with most words the first block without
+    a cue inside the article; else the first h1, one without a cue around it first; else the block with most words outside links, which
+    count half within a cue.
+    """
+    titles = [n for n, block in enumerate(found) if block[8] and not block[3]]
+    for n in titles:
+        if found[n][5] and found[n][4] < 0:
+            return n, True
+    for n in titles:
+        if found[n][5]:
+            return n, True
+    sized = [(before[b] - before[a], -a, b) for a, b in ranges["article"] if b > a]
+    if sized:
+        _, a, b = max(sized)
+        around = [c[0] <= -a and c[1] >= b for c in ranges["cue"]]
+        return next((n for n in range(-a, b) if found[n][4] < 0 or around[found[n][4]]), -a), False
+    for n in titles:
+        if found[n][4] < 0:
+            return n, True
+    if titles:
+        return titles[0], True
+    plain = [
+        (0 if furniture else (1 - density) * words / (1 if cue < 0 else 2), -n)
+        for n, (_, words, density, furniture, cue, *_) in enumerate(found)
+    ]
+    return -max(plain)[1], False
+
+
 def blocks(page: str) -> list[tuple[str, tuple[float, ...]]]:
     """The text blocks of a page in order, each with its ``FEATURES``.
 
     Features of neighbours are those of the blocks before and after; 0 words at either end.
     """
-    found = _Scanner(page).run()
+    scanner = _Scanner(page)
+    found = scanner.run()
+    if not found:
+        return []
+    size = len(found)
+    before = [0, *itertools.accumulate(0 if furniture else words for _, words, _, furniture, *_ in found)]
+    ranges = {
+        kind: [(a, size if b < 0 else b) for a, b in some] for kind, some in scanner.ranges.items()
+    }
+    main, is_title = _main_place(found, ranges, before)
     out = []
-    for n, (block, words, density, furniture, cue, article, heading) in enumerate(found):
-        before = found[n - 1][1:3] if n else (0, 0.0)
-        after = found[n + 1][1:3] if n + 1 < len(found) else (0, 0.0)
+    for n, (block, words, density, furniture, cue, article, heading, paragraph, _) in enumerate(found):
+        previous = found[n - 1][1:3] if n else (0, 0.0)
+        following = found[n + 1][1:3] if n + 1 < size else (0, 0.0)
+        about = (False, False, 0, 0.0)
+        if cue >= 0:
+            a, b = ranges["cue"][cue]
+            held = before[b] - before[a]
+            about = (not a <= main < b, a <= main < b, held, held / max(1, before[-1]))
         out.append(
-            (block, (words, density, *before, *after, furniture, cue, article, heading))
+            (
+                block,
+                (
+                    words, density, *previous, *following, furniture, *about, article, heading,
+                    paragraph, is_title and n >= main,
+                ),
+            )
         )
     return out

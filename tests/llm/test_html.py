@@ -4,7 +4,7 @@ import re
 import time
 
 from pickwise.llm import html_text
-from pickwise.llm.html_blocks import blocks
+from pickwise.llm.html_blocks import FEATURES, blocks
 from pickwise.llm.queries import op6_html
 
 
@@ -39,6 +39,85 @@ def test_furniture_is_left_out():
     assert main(page) == "\n\n".join(["Title", one, "Fish & chips!", one])
 
 
+SENTENCES = [
+    "The council met on Thursday to talk about the bridge that nobody has crossed since spring.",
+    "Builders found water below it.", "It will cost more than the town has, said its treasurer after the meeting.", "No.",
+]
+BODY = "".join(f"<p>{x}</p>" for x in SENTENCES)
+TEXT = "\n\n".join(["Bridge stays shut", *SENTENCES])
+REMARK = "<p>My grandfather built that bridge and would be ashamed of all of you, that is for sure, and of your council as well.</p>"
+
+
+def test_a_class_around_the_article_does_not_drop_it():
+    for label in ("content no-sidebar", "post has-comments", "tag-social", "sponsored story", "page widget"):
+        for article in (f"<article><h1>Bridge stays shut</h1>{BODY}</article>", f"<h1>Bridge stays shut</h1>{BODY}"):
+            for comments in ("", f"<div class=comments>{REMARK * 2}</div>", f"<section id=comments>{REMARK * 9}</section>"):
+                page = f'<nav><a href=/>Home</a></nav><div class="{label}">{article}</div>{comments}<footer>x</footer>'
+                assert main(page) == TEXT, page
+    lines = "".join(f"<div>{x}</div>" for x in SENTENCES)
+    assert main(f"<div class=widget><article><h2>Bridge stays shut</h2>{lines}</article></div><div class=ad>{REMARK}</div>") == TEXT
+    page = f'<article class="post has-comments"><h1>Bridge stays shut</h1>{BODY}</article><div class=related>{REMARK}</div>'
+    assert main(page) == TEXT
+    assert main(f"<form id=f><article><h1>Bridge stays shut</h1>{BODY}</article></form><form>{REMARK}</form>") == TEXT
+
+
+def test_title_in_a_header_of_the_article():
+    for label in ("article-header", "entry-header", "header banner"):
+        page = f"<article><div class='{label}'><h1>Bridge stays shut</h1></div>{BODY}<div class=share><p>Tell a friend</p></div></article>"
+        assert main(page) == TEXT, label
+    assert main(f"<article><div class=article-header><h2>Bridge stays shut</h2></div>{BODY}</article>") == TEXT
+
+
+def test_formulas_and_what_is_dropped_within_a_line():
+    page = (
+        "<article><p>Here <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds, <svg><g><text>no</text></g>"
+        "</svg>as <button>Copy</button>was <script>var a</script>said.</p><div>Next</div></article>"
+    )
+    assert [text for text, _ in blocks(page)] == ["Here x=1 holds, as was said.", "Next"]
+    assert [text for text, _ in blocks("<p>a<svg><p>b<div>c</svg><p>d<math><p>e")] == ["a", "d", "e"]
+
+
+def test_a_paragraph_that_is_a_link():
+    link = "<p><a href=x>Read the full report of the council on the bridge</a></p>"
+    inside = f"<article><h1>Bridge stays shut</h1>{BODY}{link}<p>{SENTENCES[0]}</p></article>"
+    report = "Read the full report of the council on the bridge"
+    assert main(inside) == "\n\n".join([TEXT, report, SENTENCES[0]])
+    stories = "".join(f"<p><a href=x>Story {n}</a></p>" for n in range(4))
+    assert main(f"<article><h1>Bridge stays shut</h1>{BODY}{stories}</article>") == TEXT
+
+
+def test_short_articles_without_the_element():
+    around = "<nav><ul><li><a href=/>Home</a></li></ul></nav>{}<footer>All rights reserved.</footer>"
+    assert main(around.format("<h1>Closed</h1><p>We are away until May.</p>")) == "Closed\n\nWe are away until May."
+    assert main(around.format("<div><h2>Closed</h2><p>Until May.</p></div>")) == "Closed\n\nUntil May."
+    assert main(around.format("<p>We are away.</p>")) == "We are away."
+    assert main(around.format("<div class=notice><p>We use cookies.</p></div><p>We are away.</p>")) == "We are away."
+
+
+def test_lines_of_an_article_that_are_no_paragraphs():
+    lines = "<ul><li>rope</li><li>two boards</li><li>nails of brass</li></ul><table><tr><td>Cost</td><td>40</td></tr></table>"
+    page = f"<article><h1>Bridge stays shut</h1>{BODY}{lines}<div>{SENTENCES[2]}</div></article>"
+    assert main(page) == "\n\n".join([TEXT, "rope", "two boards", "nails of brass", "Cost", "40", SENTENCES[2]])
+
+
+def test_tree_decides_by_neighbours_in_and_outside_of_articles():
+    """Blocks that differ in nothing but their neighbours."""
+    names = {name for name in FEATURES if name.endswith(("_before", "_after"))}
+
+    def used(node):
+        return {FEATURES[node.split[0]]} | used(node.left) | used(node.right) if node.split else set()
+
+    assert names & used(html_text.tree())
+    link, long = "<p><a href=x>See the plan</a></p>", f"<p>{SENTENCES[0]}</p>"
+    for opening, closing in (("<article>", "</article>"), ("<div>", "</div>")):
+        between = f"{opening}<h1>Bridge</h1>{long}{link}{long}{closing}"
+        in_a_row = f"{opening}<h1>Bridge</h1>{long}{long}{link * 3}{closing}"
+        assert "See the plan" in main(between) and "See the plan" not in main(in_a_row), opening
+    rows, labels = html_text.labelled_blocks()
+    right = [html_text.tree().is_main(tuple(row)) == label for row, label in zip(rows, labels)]
+    assert sum(right) / len(right) > 0.98
+
+
 def test_tree_on_held_out_pages():
     """Accuracy on generated pages that are not among the examples."""
     rng = random.Random(9)
