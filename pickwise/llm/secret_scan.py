@@ -1,11 +1,10 @@
 """Secrets in texts: exact base patterns, and every other candidate judged by a small network.
 
 Candidates are the base spans (assignments to secret names, access keys, hex strings) and all
-runs of at least ``LONG_TOKEN`` token characters with a letter and a digit that base spans do not
-cover entirely; base spans may lie inside or overlap them. The network of
-``secret_model`` scores each with its surroundings; base spans stay whatever their score, others
+runs of at least ``LONG_TOKEN`` token characters, whatever they are made of, that base spans do not
+cover entirely; base spans may lie inside or overlap them. The network of ``secret_model`` scores each with its surroundings; base spans stay whatever their score, others
 become spans of kind ``token`` if their probability reaches the threshold, which was set to keep a
-required share of the secrets in labelled findings.
+required share of the secrets in labelled findings, found through ``candidates``.
 
 Null counts as an empty text without spans. Rows are independent, so repeated rows give repeated
 results; an empty table gives no rows; other columns are ignored by ``find_secrets`` and kept by
@@ -14,89 +13,21 @@ results; an empty table gives no rows; other columns are ignored by ``find_secre
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pickwise.llm.secret_model import Network, trained
+from pickwise.llm.secret_spans import candidates
 from pickwise.llm.tables import small_batches, span_columns, texts
 from pickwise.llm.words import row_blocks
 
 BASE_KINDS = ["assign", "access", "hex"]
 FOUND = "array<struct<kind:string,start:long,end:long,base:boolean,score:double>>"
-#: Shortest run that is a candidate by its looks alone.
-LONG_TOKEN = 20
 #: What a redacted span becomes.
 MARK = "[SECRET]"
 
-# Names whose assignments are base findings.
-_NAMES = ["password", "passwd", "secret", "token", "apikey", "api_key"]
-_SEPARATOR = re.compile("[:=]")
-_VALUE = re.compile(r" *[\"']?([A-Za-z0-9+/_.=-]+)")
-_ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
-_HEX = re.compile("[0-9a-f]{16,}")
-
-
-def _name_before(left: str) -> int:
-    """Length of the end of ``left`` that is a secret name, a quote and spaces; 0 if it is not."""
-    cut = left.rstrip(" ")
-    if cut[-1:] in ("'", '"'):
-        cut = cut[:-1]
-    for name in _NAMES:
-        tail = cut[-len(name) :]
-        if tail.isascii() and tail.lower() == name:
-            return len(left) - len(cut) + len(name)
-    return 0
-
-
-def candidates(text: str) -> list[tuple[int, int, str, int]]:
-    """Spans (start, order of kind, kind, end) of all base findings and other candidates."""
-    out = []
-    after = last = 0
-    for found in _SEPARATOR.finditer(text):
-        at = found.start()
-        if at < after:
-            last = at + 1
-            continue
-        if size := _name_before(text[max(after, last) : at]):
-            value = _VALUE.match(text, at + 1)
-            if value:
-                after = value.end()
-                if after - value.start(1) >= 12:
-                    out.append((at - size, 0, "assign", after))
-        last = at + 1
-    for found in _ACCESS.finditer(text):
-        out.append((found.start(), 1, "access", found.end()))
-    runs = []
-    for run in _RUN.finditer(text):
-        start, end = run.span()
-        for found in _HEX.finditer(text, start, end):
-            out.append((found.start(), 2, "hex", found.end()))
-        start += len(run.group()) - len(run.group().lstrip("=.-"))
-        end -= len(run.group()) - len(run.group().rstrip(".-"))
-        token = text[start:end]
-        if len(token) >= LONG_TOKEN and not token.isalpha() and any(c.isalpha() for c in token):
-            if any(c.isdigit() for c in token):
-                runs.append((start, end))
-    out.sort()
-    # A long run that base spans cover entirely is that finding, not another one.
-    base, n = [], 0
-    for start, _, _, end in out:
-        if base and start <= base[-1][1]:
-            base[-1] = (base[-1][0], max(end, base[-1][1]))
-        else:
-            base.append((start, end))
-    for start, end in runs:
-        while n < len(base) and base[n][1] <= start:
-            n += 1
-        if n == len(base) or base[n][0] > start or base[n][1] < end:
-            out.append((start, 3, "token", end))
-    out.sort()
-    return out
-
 
 def scan(texts_: list[str | None], network: Network) -> list[list[dict]]:
     """The spans of each text with their scores."""

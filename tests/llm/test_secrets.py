@@ -57,6 +57,35 @@ def test_held_out_accuracy():
     assert found[labels == 0].mean() <= 0.03
 
 
+def test_recall_and_false_positives_through_candidates():
+    """On fresh texts, from the text to the spans, so that nothing in front of the network is left out."""
+    network = secret_model.trained()
+    findings, labels, places = secret_model._placed_findings(4000, seed=78)
+    spans = secret_scan.scan([text for text, _, _ in findings], network)
+    covered = [
+        any(x["start"] <= begin + 1 and x["end"] >= stop - 1 for x in some) for some, (begin, stop) in zip(spans, places)
+    ]
+    added = [any(not x["base"] for x in some) for some in spans]
+    secret = labels == 1
+    assert np.array(covered)[secret].mean() >= 0.99
+    assert np.array(added)[~secret].mean() <= 0.03
+    # Bare tokens of every length, with or without digits.
+    rng = random.Random(5)
+    for size, share in ((16, 0.85), (20, 0.96), (24, 0.98), (32, 0.98)):
+        tokens = ["".join(rng.choice(secret_model._BASE64) for _ in range(size)) for _ in range(500)]
+        found = secret_scan.scan([f"the key is {token} for now" for token in tokens], network)
+        assert sum(map(bool, found)) / 500 >= share, size
+
+
+def test_calibration_of_separable_logits():
+    """Logits far apart, where undamped steps run away."""
+    logits, labels = np.array([-30.0] * 500 + [-2.0] + [25.0] * 500), np.array([0.0] * 501 + [1.0] * 500)
+    network = secret_model.Network()
+    network.calibrate(logits, labels)
+    z = network.scale * logits + network.shift
+    assert network.scale > 0 and z[0] < -2 and z[-1] > 2
+
+
 def test_secret_late_in_a_long_run():
     network = secret_model.trained()
     url = "https://hooks.slack.com/services/T00000001/B00000001/aB3dE5fG7hI9jK1lM3nO5pQ7"
