@@ -2,7 +2,8 @@
 
 Users and items are cut into blocks and each block is copied to the tasks that need it, so a
 task holds one user block and one item block, scores them as matrices and returns only rows
-that can still be among the best k. The shuffle carries ``2 * pairs / block size`` rows at
+that can still be among the best k. Items that no user can have among the best k are left out
+before, where the scorer can tell (``prune_items``). The shuffle carries ``2 * pairs / block size`` rows at
 most, the output k rows (and ties at the cut) per user and item block.
 """
 
@@ -27,6 +28,8 @@ MIN_BLOCK_PAIRS = 1 << 20
 # Scores held at once inside a task.
 CHUNK_PAIRS = 1 << 20
 MAX_PARTITIONS = 100_000
+# Items that are compared with each other to leave some out, and intervals of users they are compared on.
+PRUNE_ROWS, INTERVALS = 32_768, 128
 
 # items (n, d) -> function scoring users (m, e) as an (m, n) matrix
 PairScorer = Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]
@@ -34,20 +37,40 @@ PairScorer = Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]
 SCORED = "map_user_id int, parent_asin int, store_id int, predicted_rating double"
 
 
-def fm_scorer(items: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+class FmScorer:
     """Cross term of the joined user and item vectors.
 
     Over all entries of the joined vector it depends only on the sums and square sums of the
-    two sides, so a pair costs a handful of operations whatever the vector size.
+    two sides, so a pair costs a handful of operations whatever the vector size. Without the user's
+    own square sum, which is the same for all items, an item's score is a function of the user's sum
+    alone: half of (that sum + item sum) squared less the item's square sum. Two items differ by a
+    linear function of it, so an interval of user sums is judged by its ends (``shape``, ``levels``).
     """
-    item_sum, item_squares = items.sum(axis=1), (items * items).sum(axis=1)
 
-    def score(users: np.ndarray) -> np.ndarray:
-        user_sum, user_squares = users.sum(axis=1), (users * users).sum(axis=1)
-        total = user_sum[:, None] + item_sum[None, :]
-        return 0.5 * (total * total - (user_squares[:, None] + item_squares[None, :]))
+    def __call__(self, items: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+        item_sum, item_squares = items.sum(axis=1), (items * items).sum(axis=1)
 
-    return score
+        def score(users: np.ndarray) -> np.ndarray:
+            user_sum, user_squares = users.sum(axis=1), (users * users).sum(axis=1)
+            total = user_sum[:, None] + item_sum[None, :]
+            return 0.5 * (total * total - (user_squares[:, None] + item_squares[None, :]))
+
+        return score
+
+    def shape(self, users: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a user stands on the line, and its size: the sum of its absolute entries."""
+        wide = users.astype(np.float64)
+        return wide.sum(axis=1), np.abs(wide).sum(axis=1)
+
+    def levels(self, items: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores without the user's square sum for users at ``at`` (n, places), and the items' sizes."""
+        wide = items.astype(np.float64)
+        item_sum, size = wide.sum(axis=1)[:, None], np.abs(wide).sum(axis=1)
+        half = 0.5 * (item_sum * item_sum - (wide * wide).sum(axis=1)[:, None])
+        return half + item_sum * at[None, :], size
+
+
+fm_scorer = FmScorer()
 
 
 def block_counts(n_users: int, n_items: int, slots: int) -> tuple[int, int]:
@@ -157,11 +180,86 @@ def block_best(
     )
 
 
+def prune_items(users: DataFrame, items: DataFrame, scorer: PairScorer, k: int) -> DataFrame:
+    """The items that may be among some user's best k (ties kept); all of them if ``scorer`` cannot tell.
+
+    The range of the users is cut into ``INTERVALS``. An item goes if in every interval at least k
+    others are better than it all over the interval, by more than rounding can change. Every task
+    compares the items of a bucket, then the rest is dealt to fewer buckets, as long as that helps. Nothing
+    is assumed of the items: if all may be best for someone, all stay. Items with a score that is no
+    finite number stay too.
+    """
+    left, columns = items.count(), items.schema
+    if not hasattr(scorer, "levels") or left * users.count() <= MIN_BLOCK_PAIRS:
+        return items
+    ranges = _user_range(users, scorer)
+    if ranges is None:
+        return items
+    while left > PRUNE_ROWS:
+        buckets = math.ceil(left / PRUNE_ROWS)
+        dealt = items.repartition(buckets, F.xxhash64("parent_asin", "store_id", F.lit(buckets)))
+        items = materialize(dealt.mapInArrow(_kept_items(scorer, ranges, k), columns), "pruned")
+        before, left = left, items.count()
+        if left > before / 2:
+            return items
+    return materialize(items.repartition(1).mapInArrow(_kept_items(scorer, ranges, k), columns), "pruned")
+
+
+def _user_range(users: DataFrame, scorer) -> tuple[float, float, float, int] | None:
+    """Least and largest place of the users, largest size and width; None without finite users."""
+
+    def found(batches):
+        for batch in batches:
+            if batch.num_rows:
+                matrix = _matrix(pa.Table.from_batches([batch]), "user_vector")
+                at, size = scorer.shape(matrix)
+                row = {"low": at.min(), "high": at.max(), "size": size.max(), "width": matrix.shape[1]}
+                yield pa.RecordBatch.from_pydict({name: [value] for name, value in row.items()})
+
+    given = users.select("user_vector").filter(F.col("user_vector").isNotNull())
+    shapes = given.mapInArrow(found, "low double, high double, size double, width long")
+    # NaN is the largest number here and in numpy's extremes.
+    ranges = shapes.agg(F.min("low"), F.max("high"), F.max("size"), F.max("width")).head()
+    return tuple(ranges) if ranges[3] and all(map(math.isfinite, ranges)) else None
+
+
+def _kept_items(scorer, ranges: tuple[float, float, float, int], k: int):
+    low, high, user_size, user_width = ranges
+    ends = np.linspace(low, high, INTERVALS + 1)
+
+    def kept(batches):
+        batches = list(batches)
+        table = pa.Table.from_batches(batches) if batches else None
+        if table is None or not table.num_rows:
+            return
+        vectors = _matrix(table, "item_vector")
+        with np.errstate(all="ignore"):
+            at_ends, size = scorer.levels(vectors, ends)
+        # More than the rounding of two scores in single precision: sums of so many entries, squared.
+        largest = np.where(np.isfinite(size), size, 0.0).max() + user_size
+        slack = 4 * (vectors.shape[1] + user_width) * np.finfo(np.float32).eps * largest**2
+        odd = ~np.isfinite(at_ends).all(axis=1)
+        stays = odd.copy()
+        good = np.flatnonzero(~odd)
+        if len(good) <= k:
+            stays[:] = True
+        else:
+            for n in range(INTERVALS):
+                pair = at_ends[good, n : n + 2]
+                least, most = pair.min(axis=1), pair.max(axis=1)
+                bar = np.partition(least, -k)[-k]
+                stays[good[most >= bar - slack]] = True
+        for batch in table.filter(pa.array(stays)).combine_chunks().to_batches():
+            yield batch
+
+    return kept
+
+
 def score_topk(
     users: DataFrame, items: DataFrame, scorer: PairScorer, k: int = TOP_K, exact: bool = False
 ) -> DataFrame:
     """Rows of rank <= k per user over all items, ties kept; ``exact`` keeps exactly k rows."""
-    best = block_best(users, items, scorer, k, exact)
+    best = block_best(users, prune_items(users, items, scorer, k), scorer, k, exact)
     if exact:
         ties = ["parent_asin", "store_id"]
         return topk_exact(best, "map_user_id", "predicted_rating", ties, k)

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -301,6 +302,44 @@ def test_block_scoring_equals_all_pairs(spark, monkeypatch, block, exact):
     assert rows(got) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_items_that_are_nobodys_best_are_not_scored(spark, monkeypatch, exact):
+    """Many buckets, ties, copies and a NaN; the result is that of all pairs, which few items meet."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(candidates, "MIN_BLOCK_PAIRS", 1)
+    monkeypatch.setattr(candidates, "PRUNE_ROWS", 500)
+    users = [(u, rng.normal(size=8).round(2).tolist()) for u in range(60)]
+    items = [(i, i % 7, rng.normal(size=16).round(1).tolist()) for i in range(2000)]
+    items += [(i + 2000, s, v) for i, s, v in items[:400]] + [(9000, 1, [math.nan] * 16)]
+    users = spark.createDataFrame(users, "map_user_id int, user_vector array<float>")
+    items = spark.createDataFrame(items, "parent_asin int, store_id int, item_vector array<float>")
+    left = candidates.prune_items(users, items, fm_scorer, 5)
+    assert 5 < left.count() < 500 and left.filter("parent_asin = 9000").count() == 1
+    got = score_topk(users, items, fm_scorer, 5, exact)
+    plain = score_topk(users, items, lambda matrix: fm_scorer(matrix), 5, exact)
+    assert rows(got) == rows(plain) and got.count() >= 300
+
+
+def test_pruning_keeps_all_items_that_may_be_best(spark, monkeypatch):
+    """Items of which each is somebody's best, equal items, and no users that can be placed."""
+    monkeypatch.setattr(candidates, "MIN_BLOCK_PAIRS", 1)
+    layout = "parent_asin int, store_id int, item_vector array<float>"
+    users = spark.createDataFrame(
+        [(u, [float(u - 20), 0.0]) for u in range(41)], "map_user_id int, user_vector array<float>"
+    )
+    tangents = spark.createDataFrame(
+        [(i, 0, [float(i - 20), -(i - 20) / 2.0]) for i in range(41)], layout
+    )
+    best = candidates.score_topk(users, tangents, lambda m: fm_scorer(m), 1)
+    named = {r.parent_asin for r in best.collect()}
+    kept = {r.parent_asin for r in candidates.prune_items(users, tangents, fm_scorer, 1).collect()}
+    assert named <= kept
+    equal = spark.createDataFrame([(i, 0, [1.0, 2.0]) for i in range(50)], layout)
+    assert candidates.prune_items(users, equal, fm_scorer, 3).count() == 50
+    odd = spark.createDataFrame([(1, [math.nan, 0.0])], "map_user_id int, user_vector array<float>")
+    assert candidates.prune_items(odd, tangents, fm_scorer, 1).count() == 41
+
+
 def test_block_counts():
     assert candidates.block_counts(1, 1, 8) == (1, 1)
     assert candidates.block_counts(10, 10, 1000) == (1, 1)
