@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ CHUNK_PAIRS = 1 << 20
 MAX_PARTITIONS = 100_000
 # Items that are compared with each other to leave some out, and intervals of users they are compared on.
 PRUNE_ROWS, INTERVALS = 32_768, 128
+# Scores with larger terms, or with terms that are no numbers, are not bounded: single precision might not hold them.
+SINGLE = 1e37
 
 # items (n, d) -> function scoring users (m, e) as an (m, n) matrix
 PairScorer = Callable[[np.ndarray], Callable[[np.ndarray], np.ndarray]]
@@ -44,7 +47,7 @@ class FmScorer:
     two sides, so a pair costs a handful of operations whatever the vector size. Without the user's
     own square sum, which is the same for all items, an item's score is a function of the user's sum
     alone: half of (that sum + item sum) squared less the item's square sum. Two items differ by a
-    linear function of it, so an interval of user sums is judged by its ends (``shape``, ``levels``).
+    linear function of it, so an interval of user sums is judged by its ends.
     """
 
     def __call__(self, items: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
@@ -57,22 +60,36 @@ class FmScorer:
 
         return score
 
-    def shape(self, users: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a user stands on the line, and its size: the sum of its absolute entries."""
-        wide = users.astype(np.float64)
-        return wide.sum(axis=1), np.abs(wide).sum(axis=1)
+    def box(self, users: np.ndarray) -> np.ndarray:
+        """What is added to the cross term sees nothing of a user, as there is nothing added."""
+        return np.zeros((len(users), 0))
 
-    def levels(self, items: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores without the user's square sum for users at ``at`` (n, places), and the items' sizes."""
-        wide = items.astype(np.float64)
-        item_sum, size = wide.sum(axis=1)[:, None], np.abs(wide).sum(axis=1)
-        half = 0.5 * (item_sum * item_sum - (wide * wide).sum(axis=1)[:, None])
-        return half + item_sum * at[None, :], size
+    def added(self, items: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[float, float]:
+        return 0.0, 0.0
+
+    def most_added(self, size: float) -> float:
+        return 0.0
+
+    terms = 0
 
 
 fm_scorer = FmScorer()
 
 
+def _sums(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the entries, and of their absolute values."""
+    wide = vectors.astype(np.float64)
+    return wide.sum(axis=1), np.abs(wide).sum(axis=1)
+
+
+def _levels(items: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Cross terms without the user's square sum for users of the sums ``at`` (n, places)."""
+    wide = items.astype(np.float64)
+    item_sum = wide.sum(axis=1)[:, None]
+    half = 0.5 * (item_sum * item_sum - (wide * wide).sum(axis=1)[:, None])
+    return half + item_sum * at[None, :]
+
+
 def block_counts(n_users: int, n_items: int, slots: int) -> tuple[int, int]:
     """Number of user and item blocks: full blocks, or smaller ones to keep all slots busy."""
     user_blocks = max(1, math.ceil(n_users / BLOCK_ROWS))
@@ -190,43 +207,78 @@ def prune_items(users: DataFrame, items: DataFrame, scorer: PairScorer, k: int)
     finite number stay too.
     """
     left, columns = items.count(), items.schema
-    if not hasattr(scorer, "levels") or left * users.count() <= MIN_BLOCK_PAIRS:
+    if not hasattr(scorer, "added") or left * users.count() <= MIN_BLOCK_PAIRS:
         return items
-    ranges = _user_range(users, scorer)
-    if ranges is None:
+    cells = _user_cells(users, scorer)
+    if cells is None:
         return items
     while left > PRUNE_ROWS:
         buckets = math.ceil(left / PRUNE_ROWS)
         dealt = items.repartition(buckets, F.xxhash64("parent_asin", "store_id", F.lit(buckets)))
-        items = materialize(dealt.mapInArrow(_kept_items(scorer, ranges, k), columns), "pruned")
+        items = materialize(dealt.mapInArrow(_kept_items(scorer, cells, k), columns), "pruned")
         before, left = left, items.count()
         if left > before / 2:
             return items
-    return materialize(items.repartition(1).mapInArrow(_kept_items(scorer, ranges, k), columns), "pruned")
+    return materialize(items.repartition(1).mapInArrow(_kept_items(scorer, cells, k), columns), "pruned")
+
 
+@dataclass
+class Cells:
+    """Users by intervals of their sums: the ends, and the boxes of the intervals that have users."""
 
-def _user_range(users: DataFrame, scorer) -> tuple[float, float, float, int] | None:
-    """Least and largest place of the users, largest size and width; None without finite users."""
+    ends: np.ndarray
+    boxes: dict[int, tuple[np.ndarray, np.ndarray]]
+    size: float  # largest sum of absolute entries
+    width: int
 
-    def found(batches):
+
+def _user_cells(users: DataFrame, scorer) -> Cells | None:
+    """None if there are no users, or some with entries that are no finite numbers."""
+
+    def ranges(batches):
         for batch in batches:
             if batch.num_rows:
                 matrix = _matrix(pa.Table.from_batches([batch]), "user_vector")
-                at, size = scorer.shape(matrix)
+                at, size = _sums(matrix)
                 row = {"low": at.min(), "high": at.max(), "size": size.max(), "width": matrix.shape[1]}
                 yield pa.RecordBatch.from_pydict({name: [value] for name, value in row.items()})
 
     given = users.select("user_vector").filter(F.col("user_vector").isNotNull())
-    shapes = given.mapInArrow(found, "low double, high double, size double, width long")
+    found = given.mapInArrow(ranges, "low double, high double, size double, width long")
     # NaN is the largest number here and in numpy's extremes.
-    ranges = shapes.agg(F.min("low"), F.max("high"), F.max("size"), F.max("width")).head()
-    return tuple(ranges) if ranges[3] and all(map(math.isfinite, ranges)) else None
-
-
-def _kept_items(scorer, ranges: tuple[float, float, float, int], k: int):
-    low, high, user_size, user_width = ranges
-    ends = np.linspace(low, high, INTERVALS + 1)
+    found = found.agg(F.min("low"), F.max("high"), F.max("size"), F.max("width")).head()
+    if not found[3] or not all(map(math.isfinite, found)):
+        return None
+    ends = np.linspace(found[0], found[1], INTERVALS + 1)
 
+    def boxes(batches):
+        for batch in batches:
+            if batch.num_rows:
+                matrix = _matrix(pa.Table.from_batches([batch]), "user_vector")
+                cell = np.clip(np.searchsorted(ends, _sums(matrix)[0], "right") - 1, 0, INTERVALS - 1)
+                box = scorer.box(matrix)
+                for n in np.unique(cell):
+                    here = box[cell == n]
+                    places = np.arange(-1, here.shape[1], dtype=np.int32)  # -1 says that there are users
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "cell": pa.array(np.full(len(places), n), pa.int32()), "place": places,
+                            "low": np.append(0.0, here.min(axis=0)), "high": np.append(0.0, here.max(axis=0)),
+                        }
+                    )
+
+    found_boxes = given.mapInArrow(boxes, "cell int, place int, low double, high double")
+    rows = found_boxes.groupBy("cell", "place").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    held: dict[int, list] = {}
+    # As many rows as intervals times units of the first layer.
+    for row in sorted(rows.collect(), key=lambda row: (row["cell"], row["place"])):
+        held.setdefault(row["cell"], []).append((row["low"], row["high"]))
+    parts = {cell: np.array(box[1:]).reshape(-1, 2) for cell, box in held.items()}
+    boxes_of = {cell: (box[:, 0], box[:, 1]) for cell, box in parts.items()}
+    return Cells(ends, boxes_of, found[2], found[3])
+
+
+def _kept_items(scorer, cells: Cells, k: int):
     def kept(batches):
         batches = list(batches)
         table = pa.Table.from_batches(batches) if batches else None
@@ -234,23 +286,24 @@ def _kept_items(scorer, ranges: tuple[float, float, float, int], k: int):
             return
         vectors = _matrix(table, "item_vector")
         with np.errstate(all="ignore"):
-            at_ends, size = scorer.levels(vectors, ends)
-        # More than the rounding of two scores in single precision: sums of so many entries, squared.
-        largest = np.where(np.isfinite(size), size, 0.0).max() + user_size
-        slack = 4 * (vectors.shape[1] + user_width) * np.finfo(np.float32).eps * largest**2
-        odd = ~np.isfinite(at_ends).all(axis=1)
-        stays = odd.copy()
-        good = np.flatnonzero(~odd)
-        if len(good) <= k:
+            at_ends, size = _levels(vectors, cells.ends), _sums(vectors)[1]
+        stays = ~np.isfinite(at_ends).all(axis=1)
+        good = np.flatnonzero(~stays)
+        # More than the rounding of two scores in single precision: sums of so many terms of such size.
+        largest = (size[good].max() if len(good) else 0.0) + cells.size
+        most_terms = largest**2 + scorer.most_added(largest)
+        if len(good) <= k or not most_terms < SINGLE:
             stays[:] = True
         else:
-            for n in range(INTERVALS):
+            terms = vectors.shape[1] + cells.width + scorer.terms
+            slack = 4 * terms * np.finfo(np.float32).eps * most_terms
+            for n, box in cells.boxes.items():
                 pair = at_ends[good, n : n + 2]
-                least, most = pair.min(axis=1), pair.max(axis=1)
+                low, high = scorer.added(vectors[good], *box)
+                least, most = pair.min(axis=1) + low, pair.max(axis=1) + high
                 bar = np.partition(least, -k)[-k]
                 stays[good[most >= bar - slack]] = True
-        for batch in table.filter(pa.array(stays)).combine_chunks().to_batches():
-            yield batch
+        yield from table.filter(pa.array(stays)).combine_chunks().to_batches()
 
     return kept
 

@@ -340,6 +340,23 @@ def test_pruning_keeps_all_items_that_may_be_best(spark, monkeypatch):
     assert candidates.prune_items(odd, tangents, fm_scorer, 1).count() == 41
 
 
+def test_network_items_that_are_nobodys_best_are_not_scored(spark, monkeypatch):
+    """Bounds on what the layers add leave out items too; the rows are those of all pairs."""
+    from pickwise.models.network import Network
+
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(candidates, "MIN_BLOCK_PAIRS", 1)
+    monkeypatch.setattr(candidates, "PRUNE_ROWS", 700)
+    users = [(u, rng.normal(size=8).round(2).tolist()) for u in range(50)]
+    items = [(i, i % 7, rng.normal(size=16).round(1).tolist()) for i in range(2000)]
+    users = spark.createDataFrame(users, "map_user_id int, user_vector array<float>")
+    items = spark.createDataFrame(items, "parent_asin int, store_id int, item_vector array<float>")
+    scorer = Network.start(24, (5, 4), 2).pair_scorer()
+    left = candidates.prune_items(users, items, scorer, 4)
+    assert 4 < left.count() < 1000
+    assert rows(score_topk(users, items, scorer, 4)) == rows(score_topk(users, items, lambda m: scorer(m), 4))
+
+
 def test_block_counts():
     assert candidates.block_counts(1, 1, 8) == (1, 1)
     assert candidates.block_counts(10, 10, 1000) == (1, 1)
