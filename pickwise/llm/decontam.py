@@ -222,13 +222,16 @@ HITS = "array<struct<start:int,end:int>>"
 _RANGE = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 
-def _marked(docs: DataFrame, items: DataFrame, window: int, block_bytes: int, names: list[str]):
-    """``docs`` with word count, hit ranges and item ids under the given column names."""
-    spark = docs.sparkSession
+def _unmarked(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with columns for word count, hit ranges and item ids under the given names."""
+    empty = [F.lit(0), F.lit(None).cast(HITS), F.lit(None).cast("array<string>")]
+    return small_batches(docs).withColumns(dict(zip(names, empty)))
+
+
+def _markers(items: DataFrame, window: int, block_bytes: int, names: list[str]) -> Iterator:
+    """For each block of items a function that fills in the columns of ``_unmarked`` in batches of rows."""
+    spark = items.sparkSession
     words, hits, ids = names
-    out = small_batches(docs).withColumns(
-        {words: F.lit(0), hits: F.lit(None).cast(HITS), ids: F.lit(None).cast("array<string>")}
-    )
     for block in item_blocks(items, block_bytes):
         holder, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
@@ -257,8 +260,7 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, block_bytes: int, na
                     [new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names
                 )
 
-        out = out.mapInArrow(run, out.schema)
-    return out
+        yield run
 
 
 def find_overlaps(
@@ -266,7 +268,10 @@ def find_overlaps(
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``hits`` (word ranges, end exclusive) and ``item_ids`` per row."""
     names = ["n_words", "hits", "item_ids"]
-    return _marked(texts(docs), items, window, block_bytes, names).select("doc_id", *names)
+    marked = _unmarked(texts(docs), names)
+    for mark in _markers(items, window, block_bytes, names):
+        marked = marked.mapInArrow(mark, marked.schema)
+    return marked.select("doc_id", *names)
 
 
 def decontaminate(
@@ -283,13 +288,19 @@ def decontaminate(
     """
     names = ["__words", "__hits", "__items"]
     plain = plain_names(docs, "text")
-    marked = _marked(plain, items, window, block_bytes, names)
-    covered = F.expr("aggregate(__hits, 0L, (n, x) -> n + x.end - x.start)")
-    marked = marked.filter(covered <= max_coverage * F.col("__words"))
+    marked = _unmarked(plain, names)
+    *others, last = _markers(items, window, block_bytes, names)
+    for mark in others:
+        marked = marked.mapInArrow(mark, marked.schema)
 
+    # The last block's marks are cut out by the same Python worker: another one would need memory, too.
     def run(batches):
-        for batch in row_blocks(batches, "text"):
-            ranges = batch.column("__hits").to_pylist()
+        for batch in last(batches):
+            ranges, counts = batch.column("__hits").to_pylist(), batch.column("__words").to_pylist()
+            covered = [sum(x["end"] - x["start"] for x in hit) for hit in ranges]
+            few = [n <= max_coverage * words for n, words in zip(covered, counts)]
+            batch = batch.filter(pa.array(few, pa.bool_()))
+            ranges = [hit for hit, keep in zip(ranges, few) if keep]
             cleaned = batch.column("text")
             if any(ranges):
                 _, starts, ends, first, offsets = _lower_words(cleaned)

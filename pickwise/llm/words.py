@@ -24,8 +24,10 @@ ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Bytes of text whose words are hashed at a time. A longer word goes alone.
+HASHED_BYTES = 1 << 18
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -44,13 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULTIPLIER))
-_POWERS: list[np.ndarray] = [_powers(_MULTIPLIER, 1), _powers(_INVERSE, 1)]
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        _POWERS[:] = [_powers(_MULTIPLIER, n), _powers(_INVERSE, n)]
-    return _POWERS[0], _POWERS[1]
+_POWERS = _powers(_MULTIPLIER, 1 << 10)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,11 +97,27 @@ def spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit number per word, the same for the same bytes wherever they stand."""
-    powers, inverse = _tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    """A 64-bit number per word, the same for the same bytes wherever they stand.
+
+    Words come in order and do not overlap. Memory beyond the result is bounded by ``HASHED_BYTES``
+    and the longest word, and none of it is kept.
+    """
+    out = np.empty(len(starts), np.uint64)
+    row = 0
+    while row < len(starts):
+        last = max(int(np.searchsorted(ends, starts[row] + HASHED_BYTES, "right")), row + 1)
+        begin, end = starts[row], ends[last - 1]
+        at, stop = starts[row:last] - begin, ends[row:last] - begin
+        longest = int((stop - at).max())
+        powers = _POWERS if longest <= len(_POWERS) else _powers(_MULTIPLIER, longest)
+        # Places are counted from the start of each word; those behind its end are of no account.
+        places = np.arange(end - begin) - np.repeat(at, np.diff(at, append=end - begin))
+        np.minimum(places, len(powers) - 1, out=places)
+        sums = np.zeros(end - begin + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[data[begin:end]] * powers[places], out=sums[1:])
+        out[row:last] = sums[stop] - sums[at]
+        row = last
+    return mix(out)
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 import tokenizers
@@ -80,3 +81,16 @@ def test_fragments_merged_together_or_alone(library):
     rng = random.Random(8)
     fragments = ["".join(rng.choice("aeinst zx1") for _ in range(rng.randint(1, 32))).encode() for _ in range(3000)]
     assert words.merge_all(fragments) == [words.merge(f) for f in fragments]
+
+
+def test_known_fragments_take_little_memory():
+    """A worker keeps its tables from task to task, beside all others of its executor."""
+    words = bpe.vocabulary(BYTE_BPE)
+    rng = random.Random(9)
+    fragments = list({"".join(rng.choice("aeinstzx") for _ in range(12)).encode() for _ in range(5000)})
+    tracemalloc.start()
+    merged = words.merge_all(fragments)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert merged == [words.merge(f) for f in fragments]
+    assert kept < 100 * len(fragments)

@@ -96,6 +96,25 @@ def test_decontaminate(spark):
     }
 
 
+def test_decontaminate_in_blocks_as_at_once(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice(["a", "B", "c-c", "é"]) for _ in range(n))
+    items = items_table(spark, [(n, text(rng.choice([4, 5, 6, 9]))) for n in range(30)])
+    table = docs(spark, [(n, text(rng.randint(0, 60))) for n in range(60)] + [(None, None)])
+    one, many = (
+        sorted(map(repr, decontam.decontaminate(table, items, 5, 0.9, size).collect())) for size in (1 << 20, 60)
+    )
+    assert one == many and 0 < len(one)
+
+
+def test_marks_are_cut_out_by_the_worker_that_found_them(spark):
+    """Each further map is another Python worker per task, which keeps its memory when it is done."""
+    table = docs(spark, [(1, "a")])
+    got = decontam.decontaminate(table, items_table(spark, [(1, "one two three")]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_query_by_brute_force(spark, sf_dir):
     read = lambda name, key: [
         tuple(r) for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").select(key, "text").collect()
