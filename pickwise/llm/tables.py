@@ -10,17 +10,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of texts that go to a Python worker at a time, unless the session says otherwise. Texts are
-#: far longer than the rows that Spark's default of 10,000 is made for.
-TEXT_BATCH_ROWS = 1000
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of texts that go to a Python worker and that are read from a file at a time, unless the session
+#: says otherwise. Texts are far longer than the rows that Spark's defaults of 10,000 and 4,096 are made for.
+TEXT_BATCH_ROWS, TEXT_READ_ROWS = 1000, 256
+_BATCH_ROWS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", TEXT_BATCH_ROWS),
+    "spark.sql.parquet.columnarReaderBatchSize": ("4096", TEXT_READ_ROWS),
+}
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, its session set to hand texts to Python in small batches."""
+    """``df``, its session set to read texts and to hand them to Python in small batches."""
     conf = df.sparkSession.conf
-    if conf.get(_BATCH_ROWS) == "10000":
-        conf.set(_BATCH_ROWS, str(TEXT_BATCH_ROWS))
+    for name, (default, rows) in _BATCH_ROWS.items():
+        if conf.get(name) == default:
+            conf.set(name, str(rows))
     return df
 
 

@@ -96,3 +96,19 @@ def test_query_matches_sql(spark, sf_dir):
     df = op7_quality(spark, sf_dir)
     assert compare(df, connection, ORACLE_SQL["op7_quality"]) == []
     assert compare_types(df, connection, ORACLE_SQL["op7_quality"]) == []
+
+
+def test_texts_are_read_in_small_batches(spark):
+    """With Spark's 4,096 rows a batch of texts takes tens of MB, several times over, in every task."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    given = docs(spark, [(1, "a")])
+    try:
+        for run in (quality.keep_good, quality.assess):
+            spark.conf.unset(name)
+            run(given)
+            assert int(spark.conf.get(name)) <= 512
+        spark.conf.set(name, "1000")
+        quality.keep_good(given)
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.unset(name)
