@@ -35,7 +35,8 @@ def test_hashes_by_definition(monkeypatch, bound):
 
 def test_hashing_keeps_nothing_and_takes_little_memory():
     """Tables as long as the text would stay in every Python worker, eight bytes a character and more."""
-    data, starts, ends, _ = hashed(["some words of it " * 200_000])
+    data, offsets = words.utf8(pa.array(["some words of it " * 200_000]))
+    starts, ends, _ = words.spans(data, offsets, words.SPACED)
     tracemalloc.start()
     words.hashes(data, starts, ends)
     kept, peak = tracemalloc.get_traced_memory()
